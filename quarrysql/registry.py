@@ -7,7 +7,9 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quarrysql.checks.corpus_sql import CORPUS_SQL
 from quarrysql.checks.pattern_sql import PATTERN_SQL
+from quarrysql.plans.corpus_queries import QUERIES, flagship
 from quarrysql.plans.derived import table
 from quarrysql.plans.patterns import PATTERNS
 
@@ -22,8 +24,11 @@ def _pattern(fn) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return {name: _pattern(fn) for name, fn in PATTERNS.items()}
+    return {**QUERIES, **{name: _pattern(fn) for name, fn in PATTERNS.items()}}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(PATTERN_SQL)
+    return {**CORPUS_SQL, **PATTERN_SQL}
+
+
+__all__ = ["flagship", "oracle_sql", "queries"]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarrysql.functions.text import as_col, filled, first_filled
+from quarrysql.functions.text import as_col, first_filled, strip
 
 
 def _strings(*names: str) -> T.StructType:
@@ -51,15 +51,15 @@ CORRUPT = "_corrupt_record"
 def read_jsonl(spark: SparkSession, path: str | list[str], schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """``(good, quarantine)``. Blank lines vanish; broken lines keep their text and file.
 
-    A broken line parses to nulls, so the file is read twice at most and nothing is cached.
+    Lines are read as text and parsed in place, so both parts are lazy and nothing is cached.
     """
     with_bad = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    raw = spark.read.schema(with_bad).option("mode", "PERMISSIVE").json(path)
-    tagged = raw.select("*", F.col("_metadata.file_path").alias("file_path"))
-    good = tagged.where(F.col(CORRUPT).isNull()).select(*schema.fieldNames())
-    bad = tagged.where(F.col(CORRUPT).isNotNull())
-    # The reader refuses queries on the corrupt column alone; a data column keeps them legal.
-    return good, bad.select(F.col(CORRUPT).alias("line"), "file_path")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file_path"))
+    parsed = lines.where(strip("value") != "").withColumn("row", F.from_json("value", with_bad, options))
+    broken = F.col(f"row.{CORRUPT}").isNotNull()
+    good = parsed.where(~broken).select(*[F.col(f"row.{n}").alias(n) for n in schema.fieldNames()])
+    return good, parsed.where(broken).select(F.col("value").alias("line"), "file_path")
 
 
 def with_row_ids(df: DataFrame, source: str, rank: int) -> DataFrame:
@@ -93,8 +93,6 @@ def merge_sources(parts: list[DataFrame]) -> DataFrame:
 
 def required_fields(df: DataFrame, fields: tuple[str, ...] = ("instruction", "response", "input")) -> DataFrame:
     """Rows whose fields are all non-blank after trimming."""
-    from quarrysql.functions.text import strip
-
     for name in fields:
         df = df.where(F.coalesce(strip(name), F.lit("")) != "")
     return df
@@ -152,10 +150,3 @@ def snapshot_read(spark: SparkSession, base: str, version: int | None = None) ->
     if number is None:
         raise FileNotFoundError(f"no committed version below {base}")
     return spark.read.parquet(f"{base}/data/version={number}")
-
-
-__all__ = [
-    "CORRUPT", "LAYOUTS", "corpus_metadata", "filled", "latest_version", "merge_sources", "read_jsonl",
-    "required_fields", "snapshot_read", "snapshot_write", "to_common", "with_row_ids", "write_columnar",
-    "write_text_jsonl",
-]
