@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The characters that count as white space when trimming text.
@@ -57,3 +57,14 @@ def hash_hex(key: Column | str, salt: str) -> Column:
 def hash_bucket(key: Column | str, salt: str) -> Column:
     """The first 32 bits of :func:`hash_hex` as a bigint."""
     return F.conv(F.substring(hash_hex(key, salt), 1, 8), 16, 10).cast("bigint")
+
+
+def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Adds or replaces columns so that each is evaluated once per row, however often it is used later.
+
+    A plain ``withColumn`` is copied into every filter and projection that mentions it; long regular
+    expression chains then run many times and outgrow the code generator. Filters do not move below
+    the one-row generator used here, and unused columns are still pruned.
+    """
+    kept = [F.col(c) for c in df.columns if c not in columns]
+    return df.select(*kept, F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))

@@ -11,8 +11,8 @@ from quarrysql.functions.chat import (
     has_all_legacy_tags,
     legacy_question_key,
 )
-from quarrysql.functions.statements import lint_reason
-from quarrysql.functions.text import as_col, strip
+from quarrysql.functions.statements import gate
+from quarrysql.functions.text import as_col, compute_once, strip
 from quarrysql.session import cut_lineage
 
 ORDER = ("source_rank", "row_id")
@@ -130,16 +130,13 @@ def normalized_sql(sql: Column | str) -> Column:
 
 def merge_candidates(df: DataFrame, text: str = "text", lint: bool = True) -> DataFrame:
     """Complete legacy transcripts with a statement that passes the gate, keys attached (A36 input)."""
-    staged = (
-        df.where(has_all_legacy_tags(text))
-        .withColumn("sql", assistant_sql_strict(text))
-        .where(F.col("sql") != "")
-    )
+    complete = df.where(has_all_legacy_tags(text))
+    staged = compute_once(
+        complete, sql=assistant_sql_strict(text), question_key=F.coalesce(legacy_question_key(text), F.lit(""))
+    ).where("sql <> ''")
     if lint:
-        staged = staged.where(lint_reason("sql").isNull())
-    return staged.withColumn("sql_key", normalized_sql("sql")).withColumn(
-        "question_key", F.coalesce(legacy_question_key(text), F.lit(""))
-    )
+        staged = gate(staged).where("reject_reason IS NULL").drop("reject_reason")
+    return compute_once(staged, sql_key=normalized_sql("sql"))
 
 
 def append_source(current: DataFrame, new: DataFrame, text: str = "text") -> DataFrame:

@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarrysql.functions.statements import describe_sql, sql_type_coarse
-from quarrysql.functions.text import strip
+from quarrysql.functions.text import compute_once, strip
 from quarrysql.operators.sampling import first_rows
+from quarrysql.session import cut_lineage
 
 # Where statements start and stop, and what a table definition looks like.
 STATEMENT = re.compile(r"(?:SELECT|INSERT|UPDATE|DELETE|CREATE|ALTER|DROP|WITH)\s+.*?(?:;|(?=\n\n|\Z))", re.I | re.S)
@@ -26,8 +27,7 @@ _CHUNK = 4_096
 def select_sql_files(files: DataFrame) -> DataFrame:
     """SQL files by extension or path, with at least 20 characters of content."""
     by_name = F.lower("ext").isin(*SQL_EXTENSIONS) | F.lower("path").contains("sql")
-    trimmed = strip("content")
-    return files.where(by_name & (F.length(trimmed) >= 20)).withColumn("content", trimmed)
+    return compute_once(files.where(by_name), content=strip("content")).where(F.length("content") >= 20)
 
 
 def statements_in(content: str):
@@ -90,6 +90,7 @@ def scan_budget(files: DataFrame, limit: int, max_check: int | None = None, orde
     ``order`` is a numeric id that fixes the reading order.
     """
     looked_at = first_rows(files, max_check or 20 * limit, order)
-    hits = extract_statements(looked_at).select("path").distinct()
-    with_sql = looked_at.join(hits, "path", "left_semi")
-    return first_rows(with_sql, limit, order)
+    # Narrow ids of at most max_check files, written once: the extraction runs a single time.
+    hits = extract_statements(looked_at.withColumn("path", F.col(order).cast("string"))).select("path").distinct()
+    ids = cut_lineage(hits.select(F.col("path").cast(files.schema[order].dataType).alias(order)))
+    return files.join(ids.orderBy(order).limit(limit), order, "left_semi")

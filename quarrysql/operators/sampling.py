@@ -7,6 +7,8 @@ holds the n-th row. The wide rows are only compared with it, never sorted or mov
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,72 +17,81 @@ from quarrysql.functions.text import hash_bucket, hash_hex
 BUCKETS = 65_536
 
 
-def _nth(ids: DataFrame, quota: Column) -> Column:
-    """The ``quota``-th smallest ``(h, id)`` as a scalar struct; null when there are fewer rows.
+Quota = Callable[[Column, Column], Column]
+
+
+def _cut(ids: DataFrame, quota: Quota, low: Column, high: Column) -> Column:
+    """The largest ``(h, id)`` inside the quota, as a scalar struct.
 
-    ``ids`` holds ``b`` (a bucket that grows with ``h``), ``h`` and ``id``. The unpartitioned window
-    sees one row per bucket; the ranking window sees the rows of a single bucket.
+    ``ids`` holds ``b`` (a bucket that grows with ``h``), ``h``, ``id``, and ``wanted``: rows that are
+    not wanted are only counted. ``quota`` gets both counts. ``low`` and ``high`` stand for the cut
+    when nothing or everything is inside. The unpartitioned windows see one row per bucket; the ranking
+    window sees the rows of a single bucket.
     """
-    histogram = ids.groupBy("b").agg(F.count("*").alias("n"))
-    upto = F.sum("n").over(Window.orderBy("b"))
-    target = (
-        histogram.select("b", "n", upto.alias("upto"))
-        .select("b", (F.col("upto") - F.col("n")).alias("before"), "upto")
-        .where((F.col("before") < quota) & (F.col("upto") >= quota))
-    )
-    edge = ids.join(F.broadcast(target), "b")  # target: one row or none
+    wanted = F.col("wanted")
+    histogram = ids.groupBy("wanted", "b").agg(F.count("*").alias("n"))
+    mine = F.when(wanted, F.col("n")).otherwise(0)
+    whole = Window.partitionBy()
+    counted = histogram.select(
+        "wanted", "b", "n",
+        F.sum(mine).over(whole).alias("total"),
+        F.sum(F.col("n") - mine).over(whole).alias("others"),
+        F.sum(mine).over(Window.orderBy("b").rowsBetween(Window.unboundedPreceding, 0)).alias("upto"),
+    ).withColumn("quota", quota(F.col("total"), F.col("others")))
+    before = F.col("upto") - F.col("n")
+    target = counted.where(wanted & (before < F.col("quota")) & (F.col("upto") >= F.col("quota")))
+    target = target.select("b", before.alias("before"), "quota")
+    edge = ids.where(wanted).join(F.broadcast(target), "b")  # target: one row or none
     place = F.row_number().over(Window.partitionBy("b").orderBy("h", "id"))
-    return (
-        edge.withColumn("place", place)
-        .where(F.col("place") + F.col("before") == quota)
-        .select(F.struct("h", "id"))
-        .scalar()
+    found = edge.withColumn("place", place).where(F.col("place") + F.col("before") == F.col("quota"))
+    outside = F.when(F.max("quota") <= 0, low).otherwise(high)
+    default = counted.agg(outside.alias("h"), F.lit(0).cast("bigint").alias("id"))
+    either = default.select(F.struct("h", "id").alias("cut"), F.lit(0).alias("rank")).unionByName(
+        found.select(F.struct("h", "id").alias("cut"), F.lit(1).alias("rank"))
     )
+    return either.agg(F.max_by("cut", "rank").alias("cut")).scalar()
 
 
-def _hash_ids(df: DataFrame, id_col: str, salt: str) -> DataFrame:
-    h = hash_hex(id_col, salt)
+def within_sample(
+    df: DataFrame, quota: Quota, id_col: str = "row_id", salt: str = "sample", wanted: Column | None = None
+) -> Column:
+    """A column that is true for the rows of ``df`` with the smallest id hash, up to the quota."""
     bucket = F.conv(F.substring(F.col("h"), 1, 4), 16, 10).cast("int")
-    return df.select(h.alias("h"), F.col(id_col).alias("id")).withColumn("b", bucket)
-
-
-def _ordered_ids(df: DataFrame, id_col: str) -> DataFrame:
-    """Equal slices of the id range; an input split never spans more than a few of them."""
-    low = df.select(F.min(id_col)).scalar()
-    high = df.select(F.max(id_col)).scalar()
-    width = F.greatest((high - low) / F.lit(BUCKETS), F.lit(1.0))
-    return df.select(
-        F.floor((F.col(id_col) - low) / width).alias("b"), F.col(id_col).alias("h"), F.col(id_col).alias("id")
-    )
-
-
-def within_sample(df: DataFrame, quota: Column, id_col: str = "row_id", salt: str = "sample") -> Column:
-    """A column that is true for the ``quota`` rows of ``df`` with the smallest id hash."""
-    cut = _nth(_hash_ids(df, id_col, salt), quota)
-    mine = F.struct(hash_hex(id_col, salt).alias("h"), F.col(id_col).alias("id"))
-    return (quota > 0) & F.coalesce(mine <= cut, F.lit(True))
+    ids = df.select(
+        hash_hex(id_col, salt).alias("h"),
+        F.col(id_col).cast("bigint").alias("id"),
+        (F.lit(True) if wanted is None else wanted).alias("wanted"),
+    ).withColumn("b", bucket)
+    cut = _cut(ids, quota, low=F.lit(""), high=F.lit("g"))  # around all hexadecimal digits
+    return F.struct(hash_hex(id_col, salt).alias("h"), F.col(id_col).cast("bigint").alias("id")) <= cut
 
 
 def cap_source(df: DataFrame, n: int = 10_000, id_col: str = "row_id", salt: str = "cap") -> DataFrame:
     """Exactly ``n`` rows by hash order when there are more, else all."""
-    return df.where(within_sample(df, F.lit(n), id_col, salt))
+    return df.where(within_sample(df, lambda total, others: F.lit(n), id_col, salt))
 
 
 def first_rows(df: DataFrame, n: int = 10_000, id_col: str = "row_id") -> DataFrame:
-    """A04, other mode: the first ``n`` rows by id."""
-    if n <= 0:
-        return df.limit(0)
-    cut = _nth(_ordered_ids(df, id_col), F.lit(n))
-    return df.where(F.coalesce(F.col(id_col) <= cut["id"], F.lit(True)))
+    """A04, other mode: the first ``n`` rows by id.
+
+    The buckets are equal slices of the id range. Ids given out per input split stay spread over them.
+    """
+    ends = df.select(F.struct(F.min(id_col).alias("lo"), F.max(id_col).alias("hi"))).scalar()
+    width = F.greatest((ends["hi"] - ends["lo"]) / F.lit(BUCKETS), F.lit(1.0))
+    mine = F.col(id_col).cast("bigint")
+    ids = df.select(
+        F.floor((mine - ends["lo"]) / width).alias("b"), mine.alias("h"), mine.alias("id"), F.lit(True).alias("wanted")
+    )
+    low, high = F.lit(-(2**63)).cast("bigint"), F.lit(2**63 - 1).cast("bigint")
+    return df.where(mine <= _cut(ids, lambda total, others: F.lit(n), low, high)["h"])
 
 
-def select_quota(kinds: DataFrame, ratio: float, kind: str = "sql_type") -> Column:
-    """How many SELECT rows may stay next to all others, as a scalar."""
+def select_quota(ratio: float) -> Quota:
+    """How many SELECT rows may stay next to all others."""
     if not 0 <= ratio < 1:
         raise ValueError("ratio must be at least 0 and below 1")
-    others = kinds.where(F.col(kind) != "SELECT").select(F.count("*")).scalar()
-    allowed = F.floor(others * F.lit(ratio / (1.0 - ratio)))
-    return F.when(others > 0, allowed).otherwise(F.lit(2**62))
+    factor = F.lit(ratio / (1.0 - ratio))
+    return lambda total, others: F.when(others > 0, F.floor(others * factor)).otherwise(total)
 
 
 def rebalance(
@@ -96,9 +107,8 @@ def rebalance(
     Rows without SQL are dropped; :func:`quarrysql.operators.profile.run_report` counts them.
     """
     usable = df.where(F.col(sql) != "")
-    selects = usable.where(F.col(kind) == "SELECT")
-    stays = within_sample(selects, select_quota(usable, ratio, kind), id_col, salt)
-    return usable.where((F.col(kind) != "SELECT") | stays)
+    is_select = F.col(kind) == "SELECT"
+    return usable.where(~is_select | within_sample(usable, select_quota(ratio), id_col, salt, is_select))
 
 
 def rebalance_report(before: DataFrame, after: DataFrame, kind: str = "sql_type") -> DataFrame:
@@ -128,8 +138,7 @@ def train_val_split(
 ) -> DataFrame:
     """Adds ``split``. Membership depends on the id only, unless ``exact`` asks for the exact share."""
     if exact:
-        quota = F.ceil(df.select(F.count("*")).scalar() * F.lit(share))
-        held_out = within_sample(df, quota, id_col, salt)
+        held_out = within_sample(df, lambda total, others: F.ceil(total * F.lit(share)), id_col, salt)
     else:
         parts = 10_000
         held_out = F.pmod(hash_bucket(id_col, salt), F.lit(parts)) < F.lit(round(share * parts))

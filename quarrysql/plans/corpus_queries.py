@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrysql.functions import chat, scoring, statements
-from quarrysql.functions.text import lower_strip
+from quarrysql.functions.text import compute_once, lower_strip
 from quarrysql.operators import dedup, encode, extract, profile, quality, sampling, score
 from quarrysql.plans import curation
 from quarrysql.plans.derived import MODELS, derived, table
@@ -224,11 +224,9 @@ rows("a28_is_non_sql", _raw, lambda: {
 
 @query
 def a29_statement_gate(spark: SparkSession, sf: str) -> DataFrame:
-    gated = _raw(spark, sf).withColumn("sql", statements.gated_sql("sql", "postgres"))
-    return gated.select(
-        "row_id", "sql", statements.lint_reason("sql").alias("reject_reason"),
-        statements.lint_reason("sql", lint=False, compat=True).alias("generic_reason"),
-    )
+    gated = compute_once(_raw(spark, sf), sql=statements.gated_sql("sql", "postgres"))
+    generic = statements.gate(statements.gate(gated), reason="generic_reason", lint=False, compat=True)
+    return generic.select("row_id", "sql", "reject_reason", "generic_reason")
 
 
 @query
@@ -424,8 +422,7 @@ def a78_reject_report(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def a78_file_report(spark: SparkSession, sf: str) -> DataFrame:
     files = extract.select_sql_files(_files(spark, sf))
-    judged = extract.extract_statements(files).withColumn("reject_reason", statements.lint_reason("sql"))
-    return profile.file_report(files, judged)
+    return profile.file_report(files, statements.gate(extract.extract_statements(files)))
 
 
 # --- quality checks --------------------------------------------------------------------------

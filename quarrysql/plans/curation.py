@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quarrysql.functions import chat, statements
 from quarrysql.functions.scoring import keyword_coverage
-from quarrysql.functions.text import as_col
+from quarrysql.functions.text import as_col, compute_once
 from quarrysql.operators import dedup, extract, sampling, score
 from quarrysql.session import scratch_path
 
@@ -26,15 +26,14 @@ def stage(
     common: DataFrame, dialect: str = "postgres", lint: bool = True, compat: bool = False, reasoning: bool = True
 ) -> DataFrame:
     """Common rows with gated SQL, the reason of a refusal, and the finished transcript. One narrow pass."""
-    gated = common.withColumn("sql", statements.gated_sql("sql", dialect))
-    judged = gated.withColumn("reject_reason", statements.lint_reason("sql", lint, compat))
+    judged = statements.gate(
+        compute_once(common, sql=statements.gated_sql("sql", dialect)), lint=lint, compat=compat
+    )
     include = chat.reasoning_mix("row_id") if reasoning else F.lit(False)
     text = chat.render_chat(
         statements.canonicalize_schema("schema_ddl"), "question", statements.sanitize_answer("sql"), dialect, include
     )
-    return judged.withColumn("text", text).withColumn(
-        "sql_type", statements.sql_type(statements.strip_reasoning("sql"))
-    )
+    return compute_once(judged, text=text, sql_type=statements.sql_type(statements.strip_reasoning("sql")))
 
 
 def rebuild_text(
@@ -46,19 +45,18 @@ def rebuild_text(
     think block that the answer already has.
     """
     answer = chat.assistant_sql(text) if compat else statements.strip_reasoning(chat.assistant_sql(text))
-    parts = df.withColumn("sql", statements.gated_sql(answer, dialect))
-    judged = parts.withColumn(
-        "reject_reason", F.when(F.col("sql") != "", statements.lint_reason("sql", lint, compat))
+    judged = statements.gate(
+        compute_once(df, sql=statements.gated_sql(answer, dialect)), "sql", "_reason", lint, compat
     )
-    asked = F.when(
-        (F.col("sql") != "") & F.col("reject_reason").isNull(), chat.rebuilt_question(text)
-    ).otherwise(chat.user_question(text))
-    judged = judged.withColumn("question", asked)
+    has_sql = F.col("sql") != ""
+    judged = judged.withColumn("reject_reason", F.when(has_sql, F.col("_reason"))).drop("_reason")
+    usable = has_sql & F.col("reject_reason").isNull()
+    asked = F.when(usable, chat.rebuilt_question(text)).otherwise(chat.user_question(text))
+    judged = compute_once(judged, question=asked)
     body = chat.with_reasoning("sql", chat.reasoning_mix("row_id"))
     rebuilt = chat.render_turns(chat.system_content(text, dialect), "question", body)
     return judged.withColumn(
-        text,
-        F.when(F.col("sql") == "", F.col(text)).when(F.col("reject_reason").isNull(), rebuilt).otherwise(F.lit("")),
+        text, F.when(~has_sql, F.col(text)).when(usable, rebuilt).otherwise(F.lit(""))
     )
 
 
@@ -90,7 +88,7 @@ def code_transcripts(files: DataFrame, dialect: str = "sql") -> DataFrame:
     """Code files to legacy transcripts: select, extract, dedup by prefix, gate, format."""
     found = extract.extract_statements(extract.select_sql_files(files))
     unique = dedup.dedup_prefix(found, order=("path", "stmt_no"))
-    good = unique.where(statements.lint_reason("sql").isNull() & (F.col("instruction") != ""))
+    good = statements.gate(unique).where("reject_reason IS NULL AND instruction <> ''")
     return good.select(
         "path", "stmt_no", chat.render_legacy("schema_ddl", "instruction", "sql", dialect).alias("text")
     )
