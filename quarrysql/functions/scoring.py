@@ -144,4 +144,4 @@ def function_calls(sql: Column | str) -> Column:
 def disallowed_functions(sql: Column | str) -> Column:
     """Called names that are not on the allow-list, in order."""
     allowed = F.array(*[F.lit(w) for w in ALLOWED_FUNCTIONS])
-    return F.array_sort(F.array_except(function_calls(sql), allowed))
+    return F.sort_array(F.array_except(function_calls(sql), allowed))

@@ -63,8 +63,9 @@ def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
     """Adds or replaces columns so that each is evaluated once per row, however often it is used later.
 
     A plain ``withColumn`` is copied into every filter and projection that mentions it; long regular
-    expression chains then run many times and outgrow the code generator. Filters do not move below
-    the one-row generator used here, and unused columns are still pruned.
+    expression chains then run many times and outgrow the code generator. Filters on the new columns do
+    not move below the one-row generator used here; filters on other columns still do. The columns are
+    computed even when nothing reads them, so this belongs right before a filter that does.
     """
     kept = [F.col(c) for c in df.columns if c not in columns]
     return df.select(*kept, F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarrysql.functions.text import WHITE_SPACE
 from quarrysql.session import cut_lineage
 
 PAD_ID = 0
 HEAD_SIZE = 50_000
-_SPACES = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in WHITE_SPACE) + "]+"
+LONGEST_HEAD_TOKEN = 128
+_SPACES = r"(?U)[\s\x1c-\x1f]+"
 
 
 def tokens(text) -> F.Column:
@@ -39,24 +39,34 @@ def build_vocabulary(df: DataFrame, text: str = "text") -> DataFrame:
 def encode_fixed(df: DataFrame, vocabulary: DataFrame, id_col: str, text: str = "text", max_len: int = 1536) -> DataFrame:
     """``input_ids``, ``attention_mask`` and ``labels`` of exactly ``max_len`` entries.
 
-    Ids grow as frequency falls, so every hot token is among the first ``HEAD_SIZE``: that head, a fixed
-    number of rows, is broadcast. The rest of the vocabulary is joined by exchange, where no key is hot.
+    The cut token lists are dealt out by id once, so the common tokens, found in a broadcast head of the
+    vocabulary, are put together again without another exchange. Ids grow as frequency falls: the head
+    holds the hot tokens, at most ``HEAD_SIZE`` rows of at most ``LONGEST_HEAD_TOKEN`` characters. Only
+    rare tokens go through an exchange join, where no key is hot.
     """
-    words = df.select(id_col, F.slice(tokens(F.col(text)), 1, max_len).alias("w"))
+    in_head = (F.col("token_id") <= HEAD_SIZE) & (F.length("token") <= LONGEST_HEAD_TOKEN)
+    head = vocabulary.where(in_head).select("token", F.col("token_id").alias("head_id"))
+    tail = vocabulary.where(~in_head).select("token", "token_id")
+    words = df.select(id_col, F.slice(tokens(F.col(text)), 1, max_len).alias("w")).repartition(id_col)
     places = words.select(id_col, F.posexplode("w").alias("pos", "token"))
-    head = vocabulary.where(F.col("token_id") <= HEAD_SIZE).select("token", F.col("token_id").alias("head_id"))
-    tail = vocabulary.where(F.col("token_id") > HEAD_SIZE).select("token", "token_id")
     looked_up = places.join(F.broadcast(head), "token", "left")
+
+    def grouped(found: DataFrame, name: str) -> DataFrame:
+        # At most max_len entries per text.
+        return found.groupBy(id_col).agg(F.collect_list(F.struct("pos", "token_id")).alias(name))
+
     common = looked_up.where(F.col("head_id").isNotNull()).select(id_col, "pos", F.col("head_id").alias("token_id"))
     rare = looked_up.where(F.col("head_id").isNull()).join(tail, "token").select(id_col, "pos", "token_id")
-    # At most max_len entries per text.
-    entries = F.collect_list(F.struct("pos", "token_id"))
-    ids = F.transform(F.array_sort(entries), lambda e: e["token_id"])
-    rows = common.unionByName(rare).groupBy(id_col).agg(ids.alias("ids"))
+    both = grouped(common, "common").join(grouped(rare, "rare"), id_col, "full")
+    none = F.array().cast("array<struct<pos:int,token_id:bigint>>")
+    entries = F.sort_array(F.concat(F.coalesce("common", none), F.coalesce("rare", none)))
+    rows = both.select(id_col, entries["token_id"].alias("ids"))
     full = df.select(id_col).join(rows, id_col, "left").withColumn(
         "ids", F.coalesce("ids", F.array().cast("array<bigint>"))
     )
     gap = F.lit(max_len) - F.size("ids")
     padded = F.concat("ids", F.array_repeat(F.lit(PAD_ID).cast("bigint"), gap))
     mask = F.concat(F.array_repeat(F.lit(1), F.size("ids")), F.array_repeat(F.lit(0), gap))
-    return full.select(id_col, padded.alias("input_ids"), mask.alias("attention_mask"), padded.alias("labels"))
+    return full.select(id_col, padded.alias("input_ids"), mask.alias("attention_mask")).withColumn(
+        "labels", F.col("input_ids")
+    )

@@ -71,7 +71,7 @@ def side_by_side(outputs: DataFrame, base: str, models: list[str], output: str =
         .groupBy("case_id", "category")
         .agg(
             F.max(F.when(F.col("model") == base, F.col(output))).alias("base_output"),
-            F.map_from_entries(F.array_sort(others)).alias("model_outputs"),
+            F.map_from_entries(F.sort_array(others)).alias("model_outputs"),
         )
     )
 

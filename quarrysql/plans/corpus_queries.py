@@ -9,8 +9,8 @@ from quarrysql.functions import chat, scoring, statements
 from quarrysql.functions.text import compute_once, lower_strip
 from quarrysql.operators import dedup, encode, extract, profile, quality, sampling, score
 from quarrysql.plans import curation
-from quarrysql.plans.derived import MODELS, derived, table
-from quarrysql.session import scratch_path
+from quarrysql.plans.derived import MODELS, derived, spread, table
+from quarrysql.session import scratch_path, written
 from quarrysql.sources import corpus
 
 QUERIES: dict = {}
@@ -205,9 +205,9 @@ def a24_rebuild_text(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def a25_encode_fixed(spark: SparkSession, sf: str) -> DataFrame:
-    documents = table(spark, sf, "documents")
+    documents = spread(table(spark, sf, "documents"), "doc_id")
     encoded = encode.encode_fixed(documents, encode.build_vocabulary(documents), "doc_id")
-    total = F.aggregate("attention_mask", F.lit(0).cast("bigint"), lambda a, x: a + x)
+    total = F.size(F.filter("attention_mask", lambda x: x == 1)).cast("bigint")
     return encoded.select(
         "doc_id", F.array_join("input_ids", " ").alias("input_ids"), total.alias("mask_sum"),
         F.size("labels").cast("bigint").alias("label_count"),
@@ -247,7 +247,7 @@ def a32_english_only(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def a32_english_by_words(spark: SparkSession, sf: str) -> DataFrame:
-    return curation.english_only(table(spark, sf, "documents")).select("doc_id")
+    return curation.english_only(spread(table(spark, sf, "documents"), "doc_id")).select("doc_id")
 
 
 rows("a33_sanitize_answer", _raw, lambda: {"sql": statements.sanitize_answer("sql")})
@@ -296,12 +296,14 @@ def a38_append_source(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def a39_rebalance(spark: SparkSession, sf: str) -> DataFrame:
-    return sampling.rebalance(_typed(spark, sf)).select("row_id", "sql_type")
+    # Written once: the rebalance reads its input three times.
+    typed = written(_typed(spark, sf).select("row_id", "sql", "sql_type"), "typed")
+    return sampling.rebalance(typed).select("row_id", "sql_type")
 
 
 @query
 def a40_rebalance_report(spark: SparkSession, sf: str) -> DataFrame:
-    before = _typed(spark, sf)
+    before = written(_typed(spark, sf).select("row_id", "sql", "sql_type"), "typed")
     return sampling.rebalance_report(before, sampling.rebalance(before))
 
 
@@ -504,7 +506,7 @@ def a70_pass_rule(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def a71_side_by_side(spark: SparkSession, sf: str) -> DataFrame:
     wide = score.side_by_side(derived(spark, sf, "outputs"), "base", ["step_500", "step_1000"])
-    shown = F.transform(F.array_sort(F.map_entries("model_outputs")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    shown = F.transform(F.sort_array(F.map_entries("model_outputs")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
     return wide.select("case_id", "category", "base_output", F.array_join(shown, "|").alias("model_outputs"))
 
 

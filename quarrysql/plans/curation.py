@@ -9,7 +9,7 @@ from quarrysql.functions import chat, statements
 from quarrysql.functions.scoring import keyword_coverage
 from quarrysql.functions.text import as_col, compute_once
 from quarrysql.operators import dedup, extract, sampling, score
-from quarrysql.session import scratch_path
+from quarrysql.session import written
 
 
 def length_filter(df: DataFrame, text: str = "text", low: int = 10, high: int = 2048) -> DataFrame:
@@ -31,9 +31,10 @@ def stage(
     )
     include = chat.reasoning_mix("row_id") if reasoning else F.lit(False)
     text = chat.render_chat(
-        statements.canonicalize_schema("schema_ddl"), "question", statements.sanitize_answer("sql"), dialect, include
+        statements.canonicalize_schema("schema_ddl"), "question", "sql", dialect, include  # sql is trimmed already
     )
-    return compute_once(judged, text=text, sql_type=statements.sql_type(statements.strip_reasoning("sql")))
+    kind = statements.sql_type(statements.strip_reasoning("sql"))
+    return judged.withColumn("text", text).withColumn("sql_type", kind)
 
 
 def rebuild_text(
@@ -62,8 +63,8 @@ def rebuild_text(
 
 def accepted(staged: DataFrame, low: int = 10, high: int = 2048) -> DataFrame:
     """Rows that passed the gate and the length limits, one per question."""
-    passed = length_filter(staged.where(F.col("reject_reason").isNull()), "text", low, high)
-    return dedup.dedup_first(passed, "question")
+    passed = compute_once(staged.where(F.col("reject_reason").isNull()), text=F.col("text"))
+    return dedup.dedup_first(length_filter(passed, "text", low, high), "question")
 
 
 def curate(
@@ -76,12 +77,7 @@ def curate(
     """
     columns = ["row_id", "source", "source_rank", "question", "sql", "sql_type", "text"]
     unique = accepted(stage(common, dialect, lint)).select(*columns)
-    if write_between:
-        spark = common.sparkSession
-        path = scratch_path(spark, "unique")
-        unique.write.parquet(path)
-        unique = spark.read.schema(unique.schema).parquet(path)
-    return sampling.rebalance(unique, ratio)
+    return sampling.rebalance(written(unique, "unique") if write_between else unique, ratio)
 
 
 def code_transcripts(files: DataFrame, dialect: str = "sql") -> DataFrame:

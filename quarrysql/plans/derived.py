@@ -8,6 +8,9 @@ engine that checks the results.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quarrysql.functions.text import compute_once
 
 _K = "CAST(o_orderkey AS STRING)"
 _C = "CAST(o_custkey AS STRING)"
@@ -157,8 +160,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deals rows out to all cores when the files give fewer splits than that; large inputs stay put."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derived corpus as a lazy DataFrame over the tables in ``sf_dir``."""
     # The table reference stands on a line of its own; its braces pass the DataFrame to spark.sql.
     text = f"{ctes(name)} SELECT * FROM {name}".replace("\nFROM orders\n", "\nFROM {orders}\n")
-    return spark.sql(text, orders=table(spark, sf_dir, "orders"))
+    df = spark.sql(text, orders=spread(table(spark, sf_dir, "orders"), "o_orderkey"))
+    # The made-up column behaves like a stored one: filters on it do not copy its long expression.
+    made = {"corpus_raw": "sql", "chat": "text", "outputs": "raw_output", "code_files": "content"}[name]
+    return compute_once(df, **{made: F.col(made)}).select(*df.columns)
