@@ -427,7 +427,9 @@ CORPUS_SQL: dict[str, str] = {
     "a07_write_columnar": f"""{CHAT} SELECT row_id, text,
         CASE WHEN {bucket('row_id', 'split')} % 10000 < 1000 THEN 'validation' ELSE 'train' END AS split FROM chat""",
     "a08_select_sql_files": f"{FOUND} SELECT file_id, path, content FROM selected",
-    "a09_scan_budget": f"""{FOUND} SELECT file_id, path FROM (SELECT * FROM selected ORDER BY file_id LIMIT 2000)
+    "a09_scan_budget": f"""{FOUND} SELECT file_id, path FROM (SELECT file_id, path FROM code_files
+          WHERE lower(ext) IN ({', '.join(lit(e) for e in extract.SQL_EXTENSIONS)}) OR contains(lower(path), 'sql')
+          ORDER BY file_id LIMIT 1999)
         WHERE path IN (SELECT path FROM found) ORDER BY file_id LIMIT 100""",
     "a10_snapshot_write": f"{CHAT} SELECT row_id, text, 2 AS version FROM chat",
     "a11_assistant_sql": f"""{CHAT} SELECT row_id, {assistant('text')} AS sql,
@@ -617,9 +619,12 @@ CORPUS_SQL: dict[str, str] = {
         FROM staged GROUP BY source""",
     "a78_reject_report": f"""{RAW}, {STAGED} SELECT source, reject_reason, count(*) AS n FROM staged
         WHERE reject_reason IS NOT NULL GROUP BY source, reject_reason""",
-    "a78_file_report": f"""{FOUND} SELECT (SELECT count(*) FROM selected) AS files_checked,
-        count(DISTINCT path) AS files_with_sql, count(*) FILTER (WHERE {lint('sql')} IS NULL) AS valid_statements,
-        count(DISTINCT path) * 100.0::DOUBLE / (SELECT count(*) FROM selected) AS success_pct FROM found""",
+    "a78_file_report": f"""{FOUND}, uniqf AS {first_wins('found', 'substr(sql, 1, 200)', 'path, stmt_no')},
+        named AS (SELECT path FROM code_files
+          WHERE lower(ext) IN ({', '.join(lit(e) for e in extract.SQL_EXTENSIONS)}) OR contains(lower(path), 'sql'))
+        SELECT (SELECT count(*) FROM named) AS files_checked, count(DISTINCT path) AS files_with_sql,
+          (SELECT count(*) FROM uniqf WHERE {lint('sql')} IS NULL) AS valid_statements,
+          count(DISTINCT path) * 100.0::DOUBLE / (SELECT count(*) FROM named) AS success_pct FROM found""",
     "e1_curated_corpus": f"{RAW}, {STAGED} SELECT row_id, sql_type, text FROM {balanced('uniq')}",
     "e2_code_transcripts": f"""{FOUND}, uniqf AS {first_wins('found', 'substr(sql, 1, 200)', 'path, stmt_no')}
         SELECT path, stmt_no, {legacy_text('schema_ddl', 'instruction', 'sql')} AS text FROM uniqf WHERE {lint('sql')} IS NULL""",

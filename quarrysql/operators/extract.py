@@ -24,10 +24,19 @@ _FOUND = "path string, stmt_no int, schema_ddl string, sql string, table_name st
 _CHUNK = 4_096
 
 
+def named_like_sql(files: DataFrame) -> DataFrame:
+    """Files with an SQL extension, or with ``sql`` in their path."""
+    return files.where(F.lower("ext").isin(*SQL_EXTENSIONS) | F.lower("path").contains("sql"))
+
+
+def with_content(files: DataFrame) -> DataFrame:
+    """Trimmed content of at least 20 characters."""
+    return compute_once(files, content=strip("content")).where(F.length("content") >= 20)
+
+
 def select_sql_files(files: DataFrame) -> DataFrame:
     """SQL files by extension or path, with at least 20 characters of content."""
-    by_name = F.lower("ext").isin(*SQL_EXTENSIONS) | F.lower("path").contains("sql")
-    return compute_once(files.where(by_name), content=strip("content")).where(F.length("content") >= 20)
+    return with_content(named_like_sql(files))
 
 
 def statements_in(content: str):
@@ -85,12 +94,13 @@ def extract_statements(files: DataFrame) -> DataFrame:
 
 
 def scan_budget(files: DataFrame, limit: int, max_check: int | None = None, order: str = "file_id") -> DataFrame:
-    """The first ``limit`` files with SQL among the first ``max_check`` files (default 20 per hit).
+    """The first ``limit`` files with SQL, as long as the budget lasts.
 
-    ``order`` is a numeric id that fixes the reading order.
+    Files are taken in the order of the numeric id ``order``. The file that uses up ``max_check`` (by
+    default 20 per wanted file) is counted but no longer read.
     """
-    looked_at = first_rows(files, max_check or 20 * limit, order)
-    # Narrow ids of at most max_check files, written once: the extraction runs a single time.
+    looked_at = with_content(first_rows(named_like_sql(files), (max_check or 20 * limit) - 1, order))
+    # Narrow ids of fewer than max_check files, written once: the extraction runs a single time.
     hits = extract_statements(looked_at.withColumn("path", F.col(order).cast("string"))).select("path").distinct()
     ids = cut_lineage(hits.select(F.col("path").cast(files.schema[order].dataType).alias(order)))
-    return files.join(ids.orderBy(order).limit(limit), order, "left_semi")
+    return with_content(files).join(ids.orderBy(order).limit(limit), order, "left_semi")

@@ -196,15 +196,14 @@ def reject_report(staged: DataFrame, group: str = "source", reason: str = "rejec
     return staged.where(as_col(reason).isNotNull()).groupBy(group, reason).agg(F.count("*").alias("n"))
 
 
-def file_report(files: DataFrame, statements: DataFrame, path: str = "path") -> DataFrame:
+def file_report(files: DataFrame, found: DataFrame, accepted: DataFrame, path: str = "path") -> DataFrame:
     """A78, code files: files looked at, files with SQL, accepted statements, share of files with SQL."""
     checked = files.select(F.count("*")).scalar()
-    per_file = statements.groupBy(path).agg(F.sum(F.col("reject_reason").isNull().cast("bigint")).alias("ok"))
-    return per_file.agg(
-        F.count("*").alias("files_with_sql"), F.coalesce(F.sum("ok"), F.lit(0)).alias("valid_statements")
-    ).select(
+    valid = accepted.select(F.count("*")).scalar()
+    hits = found.select(path).distinct().agg(F.count("*").alias("files_with_sql"))
+    return hits.select(
         checked.alias("files_checked"),
         "files_with_sql",
-        "valid_statements",
+        valid.alias("valid_statements"),
         _percent(F.col("files_with_sql"), checked).alias("success_pct"),
     )

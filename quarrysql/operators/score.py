@@ -63,16 +63,16 @@ def pass_rule(scores: DataFrame, base: str, candidate: str, tolerance: Column) -
 
 def side_by_side(outputs: DataFrame, base: str, models: list[str], output: str = "raw_output") -> DataFrame:
     """One row per case with the base output and a map from model to output."""
-    # One entry per model and case.
-    entry = F.struct("model", output)
-    others = F.collect_list(F.when(F.col("model") != base, entry))
+
+    def of(model: str) -> Column:
+        return F.max(F.when(F.col("model") == model, F.col(output)))
+
+    # One slot per model, combined before the exchange; models without an output leave no entry.
+    slots = F.create_map(*[x for m in models for x in (F.lit(m), of(m))])
     return (
         outputs.where(F.col("model").isin(base, *models))
         .groupBy("case_id", "category")
-        .agg(
-            F.max(F.when(F.col("model") == base, F.col(output))).alias("base_output"),
-            F.map_from_entries(F.sort_array(others)).alias("model_outputs"),
-        )
+        .agg(of(base).alias("base_output"), F.map_filter(slots, lambda _, v: v.isNotNull()).alias("model_outputs"))
     )
 
 

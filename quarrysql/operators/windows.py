@@ -12,14 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def join_null_safe(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
-    """An equi-join where null matches null, with the columns of ``left`` and the rest of ``right``."""
-    renamed = right.select(*[F.col(c).alias(f"_r_{c}" if c in on else c) for c in right.columns])
-    cond = F.lit(True)
-    for c in on:
-        cond = cond & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
-    return left.join(renamed, cond, how).drop(*[f"_r_{c}" for c in on])
+from quarrysql.operators.skew import join_group_rows, join_null_safe
 
 
 def _cumulated(
@@ -58,10 +51,10 @@ def ranked(
     amounts = {"_rows": F.col("_n"), "_values": F.lit(1)}
     before = _cumulated(values, keys, order, slice_by, amounts, descending)
     ranks = before.select(
-        *keys, order, (F.col("_rows") + 1).cast("bigint").alias("rank"),
+        *keys, order, "_n", (F.col("_rows") + 1).cast("bigint").alias("rank"),
         (F.col("_values") + 1).cast("bigint").alias("dense_rank"),
     )
-    out = join_null_safe(df, ranks, [*keys, order])
+    out = join_group_rows(df, ranks, [*keys, order], "_n")
     if tie_break is None:
         return out
     among_ties = F.row_number().over(Window.partitionBy(*keys, order).orderBy(tie_break))
@@ -75,7 +68,7 @@ def running_total(
 
     With no ``keys``, the window over slices sees one row per slice.
     """
-    values = df.groupBy(*keys, order).agg(F.sum(amount).alias("_sum"))
+    values = df.groupBy(*keys, order).agg(F.sum(amount).alias("_sum"), F.count("*").alias("_n"))
     before = _cumulated(values, keys, order, slice_by, {"_before": F.coalesce("_sum", F.lit(0))}, descending=False)
-    totals = before.select(*keys, order, (F.col("_before") + F.coalesce("_sum", F.lit(0))).alias(name))
-    return join_null_safe(df, totals, [*keys, order])
+    totals = before.select(*keys, order, "_n", (F.col("_before") + F.coalesce("_sum", F.lit(0))).alias(name))
+    return join_group_rows(df, totals, [*keys, order], "_n")

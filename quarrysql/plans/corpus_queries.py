@@ -151,7 +151,7 @@ def a08_select_sql_files(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def a09_scan_budget(spark: SparkSession, sf: str) -> DataFrame:
-    return extract.scan_budget(extract.select_sql_files(_files(spark, sf)), limit=100).select("file_id", "path")
+    return extract.scan_budget(_files(spark, sf), limit=100).select("file_id", "path")
 
 
 @query
@@ -423,8 +423,9 @@ def a78_reject_report(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def a78_file_report(spark: SparkSession, sf: str) -> DataFrame:
-    files = extract.select_sql_files(_files(spark, sf))
-    return profile.file_report(files, statements.gate(extract.extract_statements(files)))
+    files = extract.named_like_sql(_files(spark, sf))
+    found = extract.extract_statements(extract.with_content(files))
+    return profile.file_report(files, found, curation.accepted_statements(found))
 
 
 # --- quality checks --------------------------------------------------------------------------
@@ -574,7 +575,7 @@ def e2_code_transcripts(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def e2_merged_corpus(spark: SparkSession, sf: str) -> DataFrame:
     """Code-file transcripts appended to the legacy chat rows by the two-key rule."""
-    transcripts = curation.code_transcripts(_files(spark, sf))
+    transcripts = written(curation.code_transcripts(_files(spark, sf)), "transcripts")
     file_no = F.regexp_extract("path", r"(\d+)\.\w+$", 1).cast("bigint")
     numbered = transcripts.select((file_no * 1000 + F.col("stmt_no")).alias("row_id"), "text")
     return curation.merge_code(_chat(spark, sf), numbered, "row_id", cap=None)

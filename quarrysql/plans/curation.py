@@ -80,11 +80,15 @@ def curate(
     return sampling.rebalance(written(unique, "unique") if write_between else unique, ratio)
 
 
+def accepted_statements(found: DataFrame) -> DataFrame:
+    """Extracted statements, one per prefix, that pass the gate."""
+    unique = dedup.dedup_prefix(found, order=("path", "stmt_no"))
+    return statements.gate(unique).where("reject_reason IS NULL AND instruction <> ''").drop("reject_reason")
+
+
 def code_transcripts(files: DataFrame, dialect: str = "sql") -> DataFrame:
     """Code files to legacy transcripts: select, extract, dedup by prefix, gate, format."""
-    found = extract.extract_statements(extract.select_sql_files(files))
-    unique = dedup.dedup_prefix(found, order=("path", "stmt_no"))
-    good = statements.gate(unique).where("reject_reason IS NULL AND instruction <> ''")
+    good = accepted_statements(extract.extract_statements(extract.select_sql_files(files)))
     return good.select(
         "path", "stmt_no", chat.render_legacy("schema_ddl", "instruction", "sql", dialect).alias("text")
     )
@@ -93,10 +97,11 @@ def code_transcripts(files: DataFrame, dialect: str = "sql") -> DataFrame:
 def merge_code(current: DataFrame, transcripts: DataFrame, order: str, cap: int | None = 10_000) -> DataFrame:
     """New transcripts that repeat neither a kept statement nor a known question, appended.
 
-    ``order`` is a unique numeric id of the transcripts; ``cap`` is the source limit of the reference job.
+    ``order`` is a unique numeric id of the transcripts; ``cap`` is the usual limit for a source of this kind.
+    The candidates are written once: the rounds read their keys, the result their text.
     """
     limited = transcripts if cap is None else sampling.cap_source(transcripts, cap, order)
-    candidates = dedup.merge_candidates(limited)
+    candidates = written(dedup.merge_candidates(limited), "candidates")
     known = current.select(chat.legacy_question_key("text").alias("question")).where("question <> ''")
     kept = dedup.dedup_greedy(candidates, "sql_key", "question_key", order, existing=known)
     return dedup.append_source(current, kept)

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarrysql.operators.skew import join_group_rows
 from quarrysql.operators.windows import ranked, running_total
 
 Tables = Callable[[str], DataFrame]
@@ -187,12 +188,13 @@ def b18_left_join_is_null(t: Tables) -> DataFrame:
 
 
 def b19_exists(t: Tables) -> DataFrame:
-    c, big = t("customer"), t("orders").where(F.col("o_totalprice") > 450000)
+    """The inner side holds each key once: a hot customer is combined before the exchange."""
+    c, big = t("customer"), t("orders").where(F.col("o_totalprice") > 450000).select("o_custkey").distinct()
     return c.join(big, c.c_custkey == big.o_custkey, "left_semi").select("c_custkey", "c_name")
 
 
 def b20_not_exists(t: Tables) -> DataFrame:
-    p, bulk = t("part"), t("lineitem").where(F.col("l_quantity") >= 40)
+    p, bulk = t("part"), t("lineitem").where(F.col("l_quantity") >= 40).select("l_partkey").distinct()
     return p.join(bulk, p.p_partkey == bulk.l_partkey, "left_anti").select("p_partkey", "p_name")
 
 
@@ -208,7 +210,7 @@ def not_in(df: DataFrame, key: str, other: DataFrame, other_key: str) -> DataFra
 
     One null in the subquery empties the result; a null key passes only when the subquery is empty.
     """
-    values = other.select(F.col(other_key).alias("_v"))
+    values = other.select(F.col(other_key).alias("_v")).distinct()
     sizes = values.agg(F.count("*").alias("n"), F.count("_v").alias("known"))
     n, known = sizes.select("n").scalar(), sizes.select("known").scalar()
     unmatched = df.join(values, df[key] == values["_v"], "left_anti")
@@ -305,10 +307,11 @@ def b32_scalar_subquery(t: Tables) -> DataFrame:
 
 
 def b33_correlated_subquery(t: Tables) -> DataFrame:
-    o = t("orders")
-    own = o.groupBy(F.col("o_custkey").alias("k")).agg(mean("o_totalprice").alias("own_average"))
-    above = o.join(own, o.o_custkey == own.k).where(F.col("o_totalprice") > F.col("own_average"))
-    return above.select("o_orderkey", "o_custkey", "o_totalprice")
+    """The inner average per group, joined back so that a hot group is not exchanged."""
+    o = t("orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    own = o.groupBy("o_custkey").agg(mean("o_totalprice").alias("own_average"), F.count("*").alias("n"))
+    above = join_group_rows(o, own, ["o_custkey"], "n").where(F.col("o_totalprice") > F.col("own_average"))
+    return above.drop("own_average")
 
 
 def b34_derived_table(t: Tables) -> DataFrame:
@@ -372,7 +375,8 @@ def b39_union_all(t: Tables) -> DataFrame:
 
 
 def _custkeys(t: Tables, status: str) -> DataFrame:
-    return t("orders").where(F.col("o_orderstatus") == status).select("o_custkey")
+    """Distinct before the set operation, so that no hot key meets itself in a join."""
+    return t("orders").where(F.col("o_orderstatus") == status).select("o_custkey").distinct()
 
 
 def b40_intersect(t: Tables) -> DataFrame:
@@ -421,11 +425,11 @@ def b45_top_n_per_group(t: Tables) -> DataFrame:
 
 
 def b46_share_of_group(t: Tables) -> DataFrame:
-    """Group totals are combined before the exchange and joined back, which AQE may split on a hot group."""
-    o = t("orders")
-    own = o.groupBy(F.col("o_custkey").alias("k")).agg(F.sum(money("o_totalprice")).alias("group_total"))
+    """Group totals are combined before the exchange and joined back without moving a hot group."""
+    o = t("orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    own = o.groupBy("o_custkey").agg(F.sum(money("o_totalprice")).alias("group_total"), F.count("*").alias("n"))
     share = money("o_totalprice").cast("double") * 100 / F.col("group_total").cast("double")
-    return o.join(own, o.o_custkey == own.k).select("o_orderkey", "o_custkey", share.alias("pct"))
+    return join_group_rows(o, own, ["o_custkey"], "n").select("o_orderkey", "o_custkey", share.alias("pct"))
 
 
 # --- scalar functions ------------------------------------------------------------------------

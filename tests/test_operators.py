@@ -89,10 +89,11 @@ def test_select_sql_files(spark):
 
 
 def test_scan_budget(spark):
-    rows = [(i, f"{i}.sql", "sql", "SELECT a FROM t;" if i % 2 else "nothing") for i in range(40)]
+    rows = [(i, f"{i}.sql", "sql", "SELECT a FROM t WHERE b = 1;" if i % 2 else "nothing at all in this file") for i in range(40)]
     df = spark.createDataFrame(rows, "file_id long, path string, ext string, content string")
     assert sorted(r["file_id"] for r in extract.scan_budget(df, 3).collect()) == [1, 3, 5]
-    assert sorted(r["file_id"] for r in extract.scan_budget(df, 3, max_check=4).collect()) == [1, 3]
+    # The fourth file uses up the budget and is not read.
+    assert sorted(r["file_id"] for r in extract.scan_budget(df, 3, max_check=4).collect()) == [1]
 
 
 def test_encode(spark, monkeypatch):
@@ -231,3 +232,15 @@ def test_patterns_build_no_product(spark, sf):
     for name, fn in patterns.PATTERNS.items():
         plan = fn(tables)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_hot_group_is_not_exchanged(spark, monkeypatch):
+    from quarrysql.operators import skew
+
+    monkeypatch.setattr(skew, "HOT_GROUPS", 3)
+    rows = [("hot", i) for i in range(50)] + [(f"k{i}", i) for i in range(40)] + [(None, 1), (None, 2)]
+    df = spark.createDataFrame(rows, "k string, x int")
+    groups = df.groupBy("k").agg(F.max("x").alias("top"), F.count("*").alias("n"))
+    out = skew.join_group_rows(df, groups, ["k"], "n")
+    want = sorted(((k, x, max(b for a, b in rows if a == k)) for k, x in rows), key=str)
+    assert sorted((tuple(r) for r in out.collect()), key=str) == want
