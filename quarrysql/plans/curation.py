@@ -61,10 +61,15 @@ def rebuild_text(
     )
 
 
+def passed(staged: DataFrame, low: int = 10, high: int = 2048) -> DataFrame:
+    """Rows that passed the gate and the length limits."""
+    good = compute_once(staged.where(F.col("reject_reason").isNull()), text=F.col("text"))
+    return length_filter(good, "text", low, high)
+
+
 def accepted(staged: DataFrame, low: int = 10, high: int = 2048) -> DataFrame:
-    """Rows that passed the gate and the length limits, one per question."""
-    passed = compute_once(staged.where(F.col("reject_reason").isNull()), text=F.col("text"))
-    return dedup.dedup_first(length_filter(passed, "text", low, high), "question")
+    """Passed rows, one per question."""
+    return dedup.dedup_first(passed(staged, low, high), "question")
 
 
 def curate(
