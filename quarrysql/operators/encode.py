@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarrysql.session import cut_lineage
+from quarrysql.session import cut_lineage, written
 
 PAD_ID = 0
 HEAD_SIZE = 50_000
@@ -22,7 +22,8 @@ def build_vocabulary(df: DataFrame, text: str = "text") -> DataFrame:
     """``token, n, token_id``: dense ids from 1, most frequent first, ties by token.
 
     Counting combines before the exchange. The sort is a range exchange, written out once; ids are the
-    position in a partition plus the rows of the partitions before, one row per partition.
+    position in a partition plus the rows of the partitions before, one row per partition. The numbered
+    table is written, so that readers fetch the head or the tail alone.
     """
     counted = df.select(F.explode(tokens(F.col(text))).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
     ordered = cut_lineage(counted.orderBy(F.desc("n"), "token"))
@@ -33,7 +34,7 @@ def build_vocabulary(df: DataFrame, text: str = "text") -> DataFrame:
     sizes = placed.groupBy("_p").agg(F.count("*").alias("_size"))
     starts = sizes.select("_p", (F.sum("_size").over(Window.orderBy("_p")) - F.col("_size")).alias("_start"))
     numbered = placed.join(F.broadcast(starts), "_p")  # one row per shuffle partition
-    return numbered.select("token", "n", (F.col("_start") + F.col("_i") + 1).alias("token_id"))
+    return written(numbered.select("token", "n", (F.col("_start") + F.col("_i") + 1).alias("token_id")), "vocabulary")
 
 
 def encode_fixed(df: DataFrame, vocabulary: DataFrame, id_col: str, text: str = "text", max_len: int = 1536) -> DataFrame:

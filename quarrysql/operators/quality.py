@@ -117,3 +117,8 @@ def residue_verdict(residue: DataFrame) -> DataFrame:
 def sample_rows(df: DataFrame, predicate: Column, n: int = 5, order: str = "row_id") -> DataFrame:
     """The first ``n`` rows that match."""
     return df.where(predicate).orderBy(order).limit(n)
+
+
+def rows_at(df: DataFrame, ids: list[int], order: str = "row_id") -> DataFrame:
+    """The rows at fixed positions; positions past the end are left out."""
+    return df.where(F.col(order).isin(*ids)).orderBy(order)

@@ -168,7 +168,7 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
 def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derived corpus as a lazy DataFrame over the tables in ``sf_dir``."""
-    # The table reference stands on a line of its own; its braces pass the DataFrame to spark.sql.
+    # The table name stands on a line of its own; in braces it stands for the DataFrame.
     text = f"{ctes(name)} SELECT * FROM {name}".replace("\nFROM orders\n", "\nFROM {orders}\n")
     df = spark.sql(text, orders=spread(table(spark, sf_dir, "orders"), "o_orderkey"))
     # The made-up column behaves like a stored one: filters on it do not copy its long expression.

@@ -198,6 +198,12 @@ def test_row_checks(spark):
                         "empty_question", "too_short"]
 
 
+def test_sample_rows(spark):
+    df = spark.range(10).withColumnRenamed("id", "row_id").repartition(4)
+    assert [r["row_id"] for r in quality.sample_rows(df, F.col("row_id") % 2 == 1, 3).collect()] == [1, 3, 5]
+    assert [r["row_id"] for r in quality.rows_at(df, [9, 0, 100]).collect()] == [0, 9]
+
+
 @pytest.mark.parametrize("length, kept", [(9, False), (10, True), (2048, True), (2049, False)])
 def test_length_filter(spark, length, kept):
     df = spark.createDataFrame([("x" * length,)], "text string")
