@@ -16,7 +16,7 @@ from quarrysql.session import cut_lineage
 
 # Where statements start and stop, and what a table definition looks like.
 STATEMENT = re.compile(r"(?:SELECT|INSERT|UPDATE|DELETE|CREATE|ALTER|DROP|WITH)\s+.*?(?:;|(?=\n\n|\Z))", re.I | re.S)
-TABLE = re.compile(r"CREATE\s+TABLE\s+(?:IF\s+NOT\s+EXISTS\s+)?(\w+)\s*\([^)]+\)", re.I | re.S)
+TABLE_HEAD = re.compile(r"CREATE\s+TABLE\s+(?:IF\s+NOT\s+EXISTS\s+)?(\w+)\s*\(", re.I)
 SQL_EXTENSIONS = ("sql", "sqlite", "db")
 SHORTEST = 10
 
@@ -39,13 +39,30 @@ def select_sql_files(files: DataFrame) -> DataFrame:
     return with_content(named_like_sql(files))
 
 
+def tables_in(content: str):
+    """Yield ``(end, definition, name)`` for every table, up to its first closing parenthesis.
+
+    The parenthesis is looked up, not matched, so a file of unfinished definitions takes linear time.
+    """
+    head = TABLE_HEAD.search(content)
+    while head:
+        close = content.find(")", head.end())
+        if close < 0:
+            return
+        if close > head.end():
+            yield close + 1, content[head.start() : close + 1].strip(), head.group(1)
+            head = TABLE_HEAD.search(content, close + 1)
+        else:  # empty parentheses define nothing
+            head = TABLE_HEAD.search(content, head.start() + 1)
+
+
 def statements_in(content: str):
     """Yield ``(schema, sql, table)`` for one file: statements first, then one entry per table.
 
     The schema of a statement is the last table definition that ends before it. One pass finds the
     tables, a binary search places each statement.
     """
-    tables = [(m.end(), m.group(0).strip(), m.group(1)) for m in TABLE.finditer(content)]
+    tables = list(tables_in(content))
     ends = [t[0] for t in tables]
     for m in STATEMENT.finditer(content):
         sql = m.group(0).strip().rstrip(";").strip()

@@ -68,6 +68,7 @@ FILES = [
     "create table if not exists c (a INT, b DECIMAL(1)); INSERT INTO c VALUES (1); UPDATE c SET a = 2",
     "nothing here at all, really nothing",
     "CREATE TABLE d (a\n\nCREATE TABLE e (b INT) SELECT * FROM d WHERE updated  \n",
+    "create table f (); CREATE TABLE IF (x); create table if not exists\tg\n( y ); CREATE TABLE h (z",
 ]
 
 
@@ -80,6 +81,10 @@ def test_extract_statements(spark):
     assert {r["type"] for r in rows} >= {"create", "select", "delete", "schema"}
 
 
+def test_unfinished_definitions_take_linear_time():
+    assert len(list(extract.statements_in("CREATE TABLE t (a INT;\n" * 100_000))) == 100_000
+
+
 def test_select_sql_files(spark):
     rows = [("a.py", "py", "SELECT 1 FROM t WHERE x = 1"), ("b", "SQL", " SELECT 1 FROM t WHERE x = 1 "),
             ("sql/c.txt", "txt", "x" * 20), ("d.db", "db", "short      " + " " * 30)]
