@@ -174,11 +174,12 @@ def postgres(x: str) -> str:
     for p in ("YEAR", "MONTH", "DAY"):
         c = sub(c, rf"\b{p}\s*\(\s*([^()]+)\s*\)", f"EXTRACT({p} FROM {b}1)", "gi")
     for call, sign in (("DATE_SUB", "-"), ("DATE_ADD", "+")):
-        for unit in ("year", "month", "day"):
-            c = sub(
-                c, rf"\b{call}\s*\(\s*([^,]+?)\s*,\s*INTERVAL\s+(\d+)\s+{unit}\s*\)",
-                f"{b}1 {sign} INTERVAL '{b}2 {unit}s'", "gi",
-            )
+        c = sub(
+            c, rf"\b{call}\s*\(\s*([^,]+?)\s*,\s*INTERVAL\s+(\d+)\s+(YEAR|MONTH|DAY)\s*\)",
+            f"{b}1 {sign} INTERVAL '{b}2 \ue001{b}3s'", "gi",
+        )
+    for unit in ("year", "month", "day"):
+        c = sub(c, f"\ue001{unit}", unit, "gi")
     c = sub(c, r"\bSTR_TO_DATE\s*\(", "TO_DATE(", "gi")
     return sub(c, r"\bCURDATE\s*\(\s*\)", "CURRENT_DATE", "gi")
 

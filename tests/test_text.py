@@ -77,6 +77,7 @@ def test_chat_format(value):
             "DATE_SUB(x - INTERVAL '1 years', INTERVAL 2 DAY)",
         ),
         ("STR_TO_DATE (a, b) < CURDATE( )", "TO_DATE(a, b) < CURRENT_DATE"),
+        ("str_to_date(a, b)", "TO_DATE(a, b)"),
         ("DATE_SUB('$1', INTERVAL 1 DAY)", "'$1' - INTERVAL '1 days'"),
     ],
 )
