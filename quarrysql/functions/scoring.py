@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quarrysql.functions.text import as_col, contains_any, strip
+from quarrysql.functions.text import as_col, contains_any, strip, unicode_pattern
 
 # Words that give away an explanation, one set per rule.
 CHATTER = {
@@ -84,7 +84,7 @@ def schema_use(sql: Column | str, ddl: Column | str) -> dict[str, Column]:
     """SELECT, FROM, both, and any word of the schema."""
     s = as_col(sql)
     up, low = F.upper(s), F.lower(s)
-    words = F.filter(F.split(F.lower(as_col(ddl)), r"(?U)\s+"), lambda w: w != "")
+    words = F.filter(F.split(F.lower(as_col(ddl)), unicode_pattern(r"\s+")), lambda w: w != "")
     return {
         "has_select": up.contains("SELECT"),
         "has_from": up.contains("FROM"),
@@ -137,7 +137,7 @@ def route_prompt(text: Column | str) -> Column:
 
 def function_calls(sql: Column | str) -> Column:
     """Distinct names that stand before a parenthesis, words that never are calls left out."""
-    names = F.regexp_extract_all(F.upper(as_col(sql)), F.lit(r"(?U)(\w+)\s*\("), F.lit(1))
+    names = F.regexp_extract_all(F.upper(as_col(sql)), F.lit(unicode_pattern(r"(\w+)\s*\(")), F.lit(1))
     return F.array_except(F.array_distinct(names), F.array(*[F.lit(w) for w in NOT_CALLS]))
 
 

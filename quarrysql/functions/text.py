@@ -12,6 +12,11 @@ WHITE_SPACE = (
 )
 
 
+def unicode_pattern(pattern: str, flags: str = "") -> str:
+    """A pattern whose classes cover all scripts, and whose ``\\s`` also covers the four separators U+001C-1F."""
+    return f"(?{flags}U)" + pattern.replace(r"\s", r"[\s\x1c-\x1f]")
+
+
 def as_col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

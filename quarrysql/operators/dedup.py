@@ -12,7 +12,7 @@ from quarrysql.functions.chat import (
     legacy_question_key,
 )
 from quarrysql.functions.statements import gate
-from quarrysql.functions.text import as_col, compute_once, strip
+from quarrysql.functions.text import as_col, compute_once, strip, unicode_pattern
 from quarrysql.session import cut_lineage
 
 ORDER = ("source_rank", "row_id")
@@ -125,7 +125,7 @@ def dedup_greedy(
 
 def normalized_sql(sql: Column | str) -> Column:
     """Lower case, trimmed, every run of white space a single blank."""
-    return F.regexp_replace(strip(F.lower(as_col(sql))), r"(?U)\s+", " ")
+    return F.regexp_replace(strip(F.lower(as_col(sql))), unicode_pattern(r"\s+"), " ")
 
 
 def merge_candidates(df: DataFrame, text: str = "text", lint: bool = True) -> DataFrame:

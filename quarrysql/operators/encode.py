@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarrysql.functions.text import unicode_pattern
 from quarrysql.session import cut_lineage, written
 
 PAD_ID = 0
 HEAD_SIZE = 50_000
 LONGEST_HEAD_TOKEN = 128
-_SPACES = r"(?U)[\s\x1c-\x1f]+"
+_SPACES = unicode_pattern(r"\s+")
 
 
 def tokens(text) -> F.Column:

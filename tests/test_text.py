@@ -223,3 +223,10 @@ def test_expectations(spark):
 def test_looks_english(value):
     texts = ["How many of the orders are open?", "Quais os clientes de uma loja", ""]
     assert value(statements.looks_english, texts) == [True, False, True]
+
+
+def test_patterns_know_all_scripts(value):
+    texts = ["UPDATE\x1fñame SET a", "INSERT INTO\u2003日本 VALUES"]
+    assert value(statements.describe_sql, texts) == ["Update records in ÑAME", "Insert a new record into 日本"]
+    assert value(statements.mysql_to_postgres, ["éYEAR(a) + YEAR(\x1fé)"]) == ["éYEAR(a) + EXTRACT(YEAR FROM é)"]
+    assert value(statements.canonicalize_schema, ["a\n\x1f\nb"]) == ["a\nb"]
