@@ -412,6 +412,31 @@ def _type_table(source: str, column: str, name: str) -> str:
     return f"SELECT sql_type, count(*) AS n, count(*) * 100.0::DOUBLE / (SELECT count(*) FROM {source}) AS pct FROM {source} GROUP BY 1"
 
 
+def merge_keys(source: str, columns: str) -> str:
+    """Complete legacy transcripts that pass the gate, with both keys."""
+    strict = strip(rx("text", LEGACY_STRICT.format("assistant")))
+    whole = " AND ".join(f"contains(text, '{t}')" for t in chat.LEGACY_TAGS)
+    return f"""(SELECT {columns}, {sub(strip('lower(sql)'), chr(92) + 's+', ' ')} AS sql_key,
+        coalesce({legacy_key('text')}, '') AS question_key
+      FROM (SELECT *, {strict} AS sql FROM (SELECT {columns} FROM {source}) AS s0 WHERE {whole}) AS s1
+      WHERE sql <> '' AND {lint('sql')} IS NULL)"""
+
+
+ROUNDS = 12
+
+
+def greedy(source: str) -> str:
+    """The two-key rule in rounds. Rows still open after the last one are kept, so that a miss shows."""
+    steps = [f"o0 AS MATERIALIZED (SELECT * FROM {source})"]
+    for i in range(ROUNDS):
+        steps.append(f"""k{i} AS MATERIALIZED (SELECT * FROM o{i}
+          QUALIFY row_id = min(row_id) OVER (PARTITION BY sql_key) AND row_id = min(row_id) OVER (PARTITION BY question_key))""")
+        steps.append(f"""o{i + 1} AS MATERIALIZED (SELECT * FROM o{i} WHERE sql_key NOT IN (SELECT sql_key FROM k{i})
+          AND question_key NOT IN (SELECT question_key FROM k{i}))""")
+    union = " UNION ALL ".join(f"SELECT * FROM k{i}" for i in range(ROUNDS))
+    return ", ".join(steps) + f", kept AS ({union} UNION ALL SELECT * FROM o{ROUNDS})"
+
+
 CORPUS_SQL: dict[str, str] = {
     "a01_read_jsonl": f"""{CHAT} SELECT row_id AS id, text, NULL AS broken FROM chat WHERE row_id % 13 <> 5
         UNION ALL SELECT NULL, NULL, '{{"id": ' || CAST(row_id AS VARCHAR) || ', "text": "cut' FROM chat
@@ -481,6 +506,10 @@ CORPUS_SQL: dict[str, str] = {
     "a35_anti_existing": f"""{RAW} SELECT row_id, question FROM {first_wins(
         f"(SELECT *, lower({strip('question')}) AS q FROM corpus_raw WHERE o_orderstatus <> 'F')", 'q')}
         WHERE q NOT IN (SELECT lower({strip('question')}) FROM corpus_raw WHERE o_orderstatus = 'F')""",
+    "a36_dedup_greedy": f"""{CHAT}, cands AS MATERIALIZED {merge_keys('chat', 'row_id, text, o_orderstatus')},
+        fresh AS (SELECT row_id, sql_key, question_key FROM cands WHERE o_orderstatus <> 'F' AND question_key NOT IN
+          (SELECT question_key FROM cands WHERE o_orderstatus = 'F' AND question_key <> '')),
+        {greedy('fresh')} SELECT row_id, sql_key, question_key FROM kept""",
     "a37_dedup_prefix": f"{RAW} SELECT row_id, sql FROM {first_wins('corpus_raw', 'substr(sql, 1, 200)')}",
     "a38_append_source": f"""{RAW} SELECT 0 AS part, question AS text FROM corpus_raw WHERE o_orderstatus = 'F'
         UNION ALL SELECT 1, question FROM {first_wins(
@@ -525,6 +554,12 @@ CORPUS_SQL: dict[str, str] = {
         avg(length(sql)) FILTER (WHERE sql <> '') AS avg_sql_length,
         avg(length(question)) FILTER (WHERE sql <> '') AS avg_question_length,
         CAST(count(*) FILTER (WHERE sql <> '' AND schema_ddl <> '') AS DOUBLE) / count(*) AS has_schema FROM corpus_raw""",
+    "a54_detect_roles": f"""{RAW} SELECT source, count(*) AS n,
+          CASE source WHEN 'synthetic' THEN NULL WHEN 'community' THEN 'sql' ELSE 'response' END AS sql,
+          CASE source WHEN 'synthetic' THEN 'question' WHEN 'fixes' THEN 'instruction' END AS question,
+          CASE source WHEN 'synthetic' THEN 'context' WHEN 'community' THEN 'sql_context' ELSE 'input' END AS schema,
+          CASE source WHEN 'synthetic' THEN 'context' WHEN 'community' THEN 'sql_context' END AS overlap_question
+        FROM corpus_raw GROUP BY source""",
     "a55_dataset_summary": f"""{RAW} SELECT (SELECT count(*) FROM corpus_raw) AS total, position, column_name,
           CASE WHEN length(v) > 60 THEN substr(v, 1, 60) || '...' ELSE v END AS sample
         FROM (SELECT * FROM corpus_raw ORDER BY row_id LIMIT 1), (VALUES (0, 'row_id'), (1, 'source'), (2, 'schema_ddl'),
@@ -629,4 +664,12 @@ CORPUS_SQL: dict[str, str] = {
     "e1_curated_corpus": f"{RAW}, {STAGED} SELECT row_id, sql_type, text FROM {balanced('uniq')}",
     "e2_code_transcripts": f"""{FOUND}, uniqf AS {first_wins('found', 'substr(sql, 1, 200)', 'path, stmt_no')}
         SELECT path, stmt_no, {legacy_text('schema_ddl', 'instruction', 'sql')} AS text FROM uniqf WHERE {lint('sql')} IS NULL""",
+    "e2_merged_corpus": f"""{ctes('chat', 'code_files')}, {STATEMENTS.replace('kept', 'long_enough')},
+        uniqf AS {first_wins('found', 'substr(sql, 1, 200)', 'path, stmt_no')},
+        scripts AS (SELECT CAST(regexp_extract(path, '([0-9]+)[.][A-Za-z]+$', 1) AS BIGINT) * 1000 + stmt_no AS row_id,
+          {legacy_text('schema_ddl', 'instruction', 'sql')} AS text FROM uniqf WHERE {lint('sql')} IS NULL),
+        cands AS MATERIALIZED {merge_keys('scripts', 'row_id, text')},
+        fresh AS (SELECT * FROM cands WHERE question_key NOT IN
+          (SELECT q FROM (SELECT {legacy_key('text')} AS q FROM chat) AS c WHERE q <> '')),
+        {greedy('fresh')} SELECT 0 AS part, text FROM chat UNION ALL SELECT 1, text FROM kept""",
 }

@@ -207,7 +207,7 @@ def a24_rebuild_text(spark: SparkSession, sf: str) -> DataFrame:
 def a25_encode_fixed(spark: SparkSession, sf: str) -> DataFrame:
     documents = spread(table(spark, sf, "documents"), "doc_id")
     encoded = encode.encode_fixed(documents, encode.build_vocabulary(documents), "doc_id")
-    total = F.size(F.filter("attention_mask", lambda x: x == 1)).cast("bigint")
+    total = F.size(F.array_remove("attention_mask", 0)).cast("bigint")
     return encoded.select(
         "doc_id", F.array_join("input_ids", " ").alias("input_ids"), total.alias("mask_sum"),
         F.size("labels").cast("bigint").alias("label_count"),
@@ -373,7 +373,8 @@ def a54_detect_roles(spark: SparkSession, sf: str) -> DataFrame:
     out = []
     for df in _layouts(spark, sf):
         roles = profile.detect_roles(df.columns)
-        out.append(df.groupBy("source").agg(F.count("*").alias("n"), *[F.first(F.lit(c)).alias(r) for r, c in roles.items()]))
+        named = [F.lit(c).cast("string").alias(r) for r, c in roles.items()]
+        out.append(df.groupBy("source").agg(F.count("*").alias("n")).select("*", *named))
     return corpus.merge_sources(out)
 
 

@@ -413,7 +413,7 @@ def b44_running_total(t: Tables) -> DataFrame:
 
 def b44_running_total_per_user(t: Tables) -> DataFrame:
     e = t("events")
-    running = running_total(e, ["user_id"], "ts", money("value"), F.date_trunc("day", "ts"))
+    running = running_total(e, ["user_id"], "ts", money("value"), F.date_trunc("hour", "ts"))
     return running.select("event_id", "user_id", F.col("running_total").cast("double").alias("running_total"))
 
 
