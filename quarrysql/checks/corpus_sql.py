@@ -408,10 +408,6 @@ def _stop_hits(words) -> str:
     return f"len(list_filter(string_split_regex(lower(text), {lit(chr(92) + 'P{L}+')}), lambda w: w IN ({', '.join(lit(w) for w in words)})))"
 
 
-def _type_table(source: str, column: str, name: str) -> str:
-    return f"SELECT sql_type, count(*) AS n, count(*) * 100.0::DOUBLE / (SELECT count(*) FROM {source}) AS pct FROM {source} GROUP BY 1"
-
-
 def merge_keys(source: str, columns: str) -> str:
     """Complete legacy transcripts that pass the gate, with both keys."""
     strict = strip(rx("text", LEGACY_STRICT.format("assistant")))

@@ -1,7 +1,5 @@
 """The patterns as plain SQL, for the result check."""
 
-MONEY = "CAST({0} AS DECIMAL(12,2))"
-
 
 def total(c: str) -> str:
     return f"CAST(sum(CAST({c} AS DECIMAL(12,2))) AS DOUBLE)"

@@ -62,15 +62,6 @@ def read_jsonl(spark: SparkSession, path: str | list[str], schema: T.StructType)
     return good, parsed.where(broken).select(F.col("value").alias("line"), "file_path")
 
 
-def with_row_ids(df: DataFrame, source: str, rank: int) -> DataFrame:
-    """Adds ``source``, ``source_rank`` and ``row_id``. Write the result before use: ids follow the read."""
-    return (
-        df.withColumn("source", F.lit(source))
-        .withColumn("source_rank", F.lit(rank))
-        .withColumn("row_id", F.monotonically_increasing_id())
-    )
-
-
 def to_common(df: DataFrame, keep: tuple[str, ...] = ("source", "source_rank", "row_id", "text")) -> DataFrame:
     """Schema, question and SQL from whichever layout columns are there, first non-empty wins."""
     have = set(df.columns)
