@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import eq
 from zlib import crc32
 
 import numpy as np
@@ -15,24 +16,48 @@ from quarrysql.llm.common import labelled_sample, small_batches, words
 
 #: Training documents read at most: the documented bound of the sample.
 SAMPLE = 6_000
-BITS = 20
+#: Slots of words, and after them those of shapes, in bits.
+BITS, SHAPE_BITS = 20, 16
+SLOTS = (1 << BITS) + (1 << SHAPE_BITS) + 2
 #: Step, smoothing and penalties of the updates, passes over the sample, and the share of 1 that accepts a text.
 ALPHA, BETA, L1, L2, PASSES = 0.5, 1.0, 0.05, 0.5, 4
 ACCEPT = 0.3
 
 
-def features(text: str | None, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
-    """Slots of the one- and two-word shingles, and their counts scaled to length 1.
+# What the shape of a word keeps of its characters: letters by case, digits, the marks . and , and one sign for all others.
+_SHAPE = bytes(
+    97 if c >= 128 or 97 <= c <= 122 else 65 if 65 <= c <= 90 else 48 if 48 <= c <= 57 else c if c in b" \t\n\x0b\x0c\r.," else 42
+    for c in range(256)
+)
 
-    Words keep their case and marks. The last slot, ``1 << bits``, is the intercept; an empty text has it alone.
-    """
-    own = words(text)
-    one = np.fromiter(map(crc32, own), np.uint64, len(own))
+
+def shapes(text: str | None) -> list[bytes]:
+    """The shape of each word, runs of one sign written once: ``Then,`` is ``Aa,`` and ``the&&&`` is ``a*``."""
+    line = np.frombuffer((text or "").encode().translate(_SHAPE), np.uint8)
+    kept = np.ones(len(line), bool)
+    kept[1:] = line[1:] != line[:-1]
+    return line[kept].tobytes().split()
+
+
+def _block(listed: list[bytes], bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Slots of the one- and two-word shingles of a list, and their counts scaled to length 1."""
+    one = np.fromiter(map(crc32, listed), np.uint64, len(listed))
     two = (one[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ (one[1:] * np.uint64(0xC2B2AE3D27D4EB4F))
     mixed = np.concatenate([one * np.uint64(0xD6E8FEB86659FD93), two * np.uint64(0xFF51AFD7ED558CCD)])
     slots, counts = np.unique((mixed >> np.uint64(64 - bits)).astype(np.int64), return_counts=True)
-    values = counts / max(1.0, np.sqrt(np.square(counts, dtype=np.float64).sum()))
-    return np.append(slots, 1 << bits), np.append(values, 1.0)
+    return slots, counts / max(1.0, np.sqrt(np.square(counts, dtype=np.float64).sum()))
+
+
+def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Slots and values of a text: shingles of its words, which keep case and marks, and of their shapes.
+
+    The last two slots are the share of words that repeat the word before them, as a root, and the intercept.
+    An empty text has the intercept alone.
+    """
+    own = words(text)
+    again = sum(map(eq, own, own[1:])) / max(1, len(own) - 1)
+    (a, x), (b, y) = _block(own, BITS), _block(shapes(text), SHAPE_BITS)
+    return np.concatenate([a, b + (1 << BITS), [SLOTS - 2, SLOTS - 1]]), np.concatenate([x, y, [again**0.5, 1.0]])
 
 
 @dataclass
@@ -59,7 +84,7 @@ def sigmoid(x):
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> np.ndarray:
-    """Weights, ``2**BITS + 1`` floats, from at most ``sample`` labelled documents.
+    """Weights, SLOTS floats, from at most ``sample`` labelled documents.
 
     Executors turn texts into slots; only those of the sample reach the driver. No label at all gives zeros,
     so that every text scores 0.5.
@@ -79,7 +104,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
         .collect()
     )
     rows.sort(key=lambda r: (crc32(str(r.id).encode()), r.id, bytes(r.f.slots), bytes(r.f["values"])))
-    leader = Leader(np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1))
+    leader = Leader(np.zeros(SLOTS), np.zeros(SLOTS))
     for _ in range(PASSES):
         for r in rows:
             leader.learn(np.frombuffer(r.f.slots, np.int32), np.frombuffer(r.f["values"], np.float32).astype(np.float64), r.y)

@@ -24,8 +24,8 @@ from quarrysql.llm.common import labelled_sample, small_batches
 SAMPLE, WINDOWS = 4_000, 48
 WIDTH, STRIDE = 32, 24
 WORD_BITS, PAIR_BITS, INPUT, HIDDEN = 15, 12, 8, 8
-#: Rounds and updates at least, windows in an update, step.
-ROUNDS, UPDATES, BATCH, RATE = 4, 250, 256, 0.02
+#: Rounds, least updates in a round, windows in an update, step.
+ROUNDS, UPDATES, BATCH, RATE = 4, 50, 256, 0.02
 #: Windows that the network reads at a time when it scores.
 SLICE = 2_048
 
@@ -237,11 +237,9 @@ def fitted(texts: list[tuple[list[list[bytes]], int]], seed: int = 5) -> Network
         ends = np.cumsum([len(own) for own, _ in texts])
         return np.split(found, ends[:-1])
 
-    round_ = 0
-    while round_ < ROUNDS or trainer.steps < UPDATES:
+    for round_ in range(ROUNDS):
         chosen: list[tuple[list[bytes], int]] = []
         found = best() if round_ else None
-        round_ += 1
         for i in positive:
             own = texts[i][0]
             pick = range(len(own)) if found is None else np.argsort(-found[i], kind="stable")[:3]
@@ -251,10 +249,14 @@ def fitted(texts: list[tuple[list[list[bytes]], int]], seed: int = 5) -> Network
             own = texts[i][0]
             pick = [*r.integers(0, len(own), each)] + ([] if found is None else [int(found[i].argmax())])
             chosen += [(own[k], 0) for k in pick]
-        order = r.permutation(len(chosen))
-        for k in range(0, len(order), BATCH):
-            part = [chosen[j] for j in order[k : k + BATCH]]
-            trainer.learn([w for w, _ in part], np.array([y for _, y in part], np.float32))
+        until = trainer.steps + UPDATES
+        while True:  # once over all, and again while the round has too few updates
+            order = r.permutation(len(chosen))
+            for k in range(0, len(order), BATCH):
+                part = [chosen[j] for j in order[k : k + BATCH]]
+                trainer.learn([w for w, _ in part], np.array([y for _, y in part], np.float32))
+            if trainer.steps >= until:
+                break
     x, y = np.array([b.max() for b in best()], np.float64), np.array([y for _, y in texts], np.float64)
     a, b = 1.0, 0.0
     for _ in range(50):  # Newton steps on the two numbers that scale the logit, held near 1 and 0 by a weak prior
