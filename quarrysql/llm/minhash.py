@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
@@ -20,6 +20,9 @@ from quarrysql.session import written
 
 #: A pair of similarity 0.8 shares none of 30 bands of 5 coordinates once in about 150,000 times.
 BANDS, ROWS = 30, 5
+#: Of the last bits of two signatures' coordinates, at most so many differ: of the 150 bits of a pair of similarity 0.8
+#: fifteen do on average, and more than 36 once in a million times. Pairs beyond it are not worth a look at the sets.
+APART = 36
 #: Shingles ranked at a time.
 BLOCK = 2_048
 #: A list of text hashes up to this size is broadcast to the scan; beyond it the scan is joined by exchange.
@@ -76,6 +79,18 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def last_bits(sig: np.ndarray) -> np.ndarray:
+    """The last bit of each coordinate, in three 64-bit numbers."""
+    bits = np.zeros(192, np.uint8)
+    bits[: len(sig)] = sig & np.uint32(1)
+    return np.packbits(bits).view(np.int64)
+
+
+def near_bits(a: str, b: str) -> Column:
+    """Whether few enough of two signatures' last bits differ."""
+    return sum((F.bit_count(F.col(a)[k].bitwiseXOR(F.col(b)[k])) for k in range(1, 3)), F.bit_count(F.col(a)[0].bitwiseXOR(F.col(b)[0]))) <= APART
+
+
 def set_key(found: np.ndarray) -> bytes:
     """16 bytes that name a set of shingles."""
     a = mix64(found).sum(dtype=np.uint64) + np.uint64(len(found))
@@ -92,25 +107,26 @@ def alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, text_hash, n_shingles, cls, bands) of each row; cls and bands are null for a text without words."""
+    """(doc_id, text_hash, n_shingles, cls, bands, bits) of each row; cls, bands and bits are null for a text without words."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, keys, bands, seen = [], [], [], {}
+            sizes, keys, bands, bits, seen = [], [], [], [], {}
             for text in batch.column(2).to_pylist():
                 if text not in seen:
                     found = shingles(text, width)
-                    seen[text] = (len(found), set_key(found), band_keys(signature(found))) if len(found) else (0, None, None)
-                for out, value in zip((sizes, keys, bands), seen[text]):
+                    sig = signature(found)
+                    seen[text] = (len(found), set_key(found), band_keys(sig), last_bits(sig)) if len(found) else (0, None, None, None)
+                for out, value in zip((sizes, keys, bands, bits), seen[text]):
                     out.append(value)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                names=["doc_id", "text_hash", "n_shingles", "cls", "bands"],
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))],
+                names=["doc_id", "text_hash", "n_shingles", "cls", "bands", "bits"],
             )
 
     return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
-        run, "doc_id long, text_hash long, n_shingles long, cls binary, bands array<long>"
+        run, "doc_id long, text_hash long, n_shingles long, cls binary, bands array<long>, bits array<long>"
     )
 
 
@@ -152,10 +168,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     """Every row's component of near-duplicate texts: (doc_id, text_hash, n_shingles, cls, component_id, kept).
 
     * Rows with one set of shingles are one class; all further work is on classes.
-    * In each bucket of a band every class is held against the bucket's first class. What links at once joins
-      components; after that, buckets that still hold several components hold every class outside their main
-      component against all of the other components. So no pair that shares a band goes untested unless it
-      is in one component already, and a bucket of copies costs its size, not its square.
+    * In each bucket of a band every class is held against the one with the most company, and links join components. Then
+      come rounds: in each bucket that still holds several components, a few classes from outside its largest
+      component, 32 times as many in each round, are held against all classes of other components; links join
+      components again. The rounds end when every class outside the largest component has had its turn. So no pair
+      that shares a band goes untested, unless one component, the sizes or the signatures settle it, and a bucket of copies costs
+      its size, not its square.
     * component_id is the smallest id of the component; null ids are larger than all others, and a component
       of null ids alone has a null component_id. A text that is null or has no words is its own component.
       kept is true where doc_id = component_id (both null included). Rows that repeat an id are documents of
@@ -172,34 +190,55 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         ),
         "minhash-classes",
     )
-    placed = base.where(F.col("cls").isNotNull()).select("cls", "bands").dropDuplicates(["cls"]).select("cls", F.explode("bands").alias("bucket"))
+    placed = base.where(F.col("cls").isNotNull()).select("cls", F.col("n_shingles").alias("n"), "bits", "bands").dropDuplicates(["cls"])
+    placed = placed.select("cls", "n", "bits", F.explode("bands").alias("bucket"))
     placed = written(placed, "minhash-buckets")
-    first = placed.groupBy("bucket").agg(F.min("cls").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket", "first")
-    members = written(placed.join(first, "bucket"), "minhash-members")
-    tested = members.where("cls != first").select(F.col("first").alias("a"), F.col("cls").alias("b")).distinct()
+    sizes = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    shared = written(placed.join(sizes, "bucket"), "minhash-shared")
+    # The text that others were copied from shares the most buckets; it is the best one to hold them against.
+    score = shared.groupBy("cls").agg(F.sum("size").alias("score"))
+    shared = written(shared.join(score, "cls").select("bucket", "cls", "n", "bits", "score"), "minhash-shared")
+    first = shared.groupBy("bucket").agg(F.max(F.struct("score", "cls", "n", "bits")).alias("first"))
+    members = written(shared.join(first, "bucket"), "minhash-members")
+    fits = 100 * F.least("n", "first.n") >= percent * F.greatest("n", "first.n")
+    fits = fits & near_bits("bits", "first.bits")
+    tested = members.where((F.col("cls") != F.col("first.cls")) & fits).select(F.least("first.cls", "cls").alias("a"), F.greatest("first.cls", "cls").alias("b")).distinct()
     tested = written(tested, "minhash-tested")
     links = confirmed(docs, classes, tested, width, percent)
     groups = components(links, "minhash-groups")
 
-    marked = members.join(groups.withColumnRenamed("node", "cls"), "cls", "left").select("bucket", "cls", F.coalesce("component", "cls").alias("comp"))
-    marked = written(marked, "minhash-marked")
-    mixed = (
-        marked.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket")
-        .agg(F.max(F.struct("n", "comp")).alias("main"), F.count(F.lit(1)).alias("comps"))
-        .where("comps > 1").select("bucket", F.col("main.comp").alias("main"))
-    )
-    in_mixed = marked.join(mixed, "bucket")
-    stray = in_mixed.where("comp != main").select("bucket", F.col("cls").alias("s"), F.col("comp").alias("s_comp"))
-    across = (
-        stray.join(in_mixed.select("bucket", "cls", "comp"), "bucket").where("comp != s_comp")
-        .select(F.least("s", "cls").alias("a"), F.greatest("s", "cls").alias("b")).distinct()
-        .join(tested, ["a", "b"], "left_anti")
-    )
-    across = written(across, "minhash-across")
-    if not across.isEmpty():
+    links, leaders = groups.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b")), 1
+    led, seen = None, tested
+    while True:
+        marked = members.join(groups.withColumnRenamed("node", "cls"), "cls", "left").select("bucket", "cls", "n", "bits", "score", F.coalesce("component", "cls").alias("comp"))
+        marked = written(marked, "minhash-marked")
+        mixed = (
+            marked.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket")
+            .agg(F.max(F.struct("n", "comp")).alias("main"), F.count(F.lit(1)).alias("comps"))
+            .where("comps > 1").select("bucket", F.col("main.comp").alias("main"))
+        )
+        marked = written(marked.join(mixed, "bucket"), "minhash-mixed")
+        stray = marked.where("comp != main")
+        stray = stray if led is None else stray.join(led, ["bucket", "cls"], "left_anti")
+        turn = Window.partitionBy("bucket").orderBy(F.desc("score"), "cls")
+        now = written(stray.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= leaders), "minhash-leaders")
+        if now.isEmpty():
+            break
+        led = now.select("bucket", "cls") if led is None else led.unionByName(now.select("bucket", "cls"))
+        across = (
+            now.select("bucket", F.col("cls").alias("s"), F.col("comp").alias("s_comp"), F.col("n").alias("s_n"), F.col("bits").alias("s_bits"))
+            .join(marked.select("bucket", "cls", "comp", "n", "bits"), "bucket")
+            .where((F.col("comp") != F.col("s_comp")) & (100 * F.least("n", "s_n") >= percent * F.greatest("n", "s_n")) & near_bits("bits", "s_bits"))
+            .select(F.least("s", "cls").alias("a"), F.greatest("s", "cls").alias("b")).distinct()
+            .join(seen, ["a", "b"], "left_anti")
+        )
+        across = written(across, "minhash-across")
+        seen = seen.unionByName(across)
         more = confirmed(docs, classes, across, width, percent)
         if not more.isEmpty():
-            groups = components(links.unionByName(more), "minhash-groups")
+            links = written(links.unionByName(more), "minhash-links")
+            groups = components(links, "minhash-groups")
+        leaders *= 32
 
     labelled = classes.join(groups.withColumnRenamed("node", "cls"), "cls", "left").select(
         "cls", "rows", "rep", F.coalesce("component", "cls").alias("comp"), F.col("component").isNotNull().alias("linked")
