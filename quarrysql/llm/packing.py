@@ -9,6 +9,7 @@ sequences that follow it. Rows find their pattern by the global rank of their le
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -30,14 +31,14 @@ END = 0
 
 # How the tokenizer file splits a text into words.
 PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-#: Texts with characters outside of this, or with the start of a special token, go through the tokenizer whole.
-PLAIN = regex.compile(r"(?:(?!<\|)[\t-\r\x20-\x7e\xa0-įı-ž])*+")
-#: Words whose ids a worker remembers; beyond it, it starts anew.
-KNOWN = 600_000
+#: Texts with one of these characters, or with the start of a special token, go through the tokenizer whole.
+OTHER = re.compile(r"[^\t-\r\x20-\x7e\xa0-\u012f\u0131-\u017e]|<\|")
+#: Words, and pieces of words, whose ids a worker remembers; beyond it, it starts anew.
+KNOWN = 900_000
 
 
 class Encoder:
-    """Ids of texts. Most words come back, so the ids of plain words are remembered, word by word."""
+    """Ids of texts. No token spans white space, and most words come back: the ids of words are remembered."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -46,13 +47,33 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
+        self.pieces: dict[str, list[int]] = {}
         self.place: dict[str, int] = {}
         self.ids = np.empty(1 << 16, np.uint32)
         self.ends = np.zeros(1 << 14, np.int64)  # where the ids of a word end; those of the next begin there
         self.words = 0
 
+    def _ids(self, new: list[str]) -> list[list[int]]:
+        """The ids of each word. Words go through the tokenizer many at a time, with blanks between; it says which id is whose."""
+        out: list[list[int]] = []
+        groups = [new[k : k + 200] for k in range(0, len(new), 200)]
+        for group, found in zip(groups, self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)):
+            own: list[list[int]] = [[] for _ in group]
+            whose = found.word_ids
+            if whose and whose[-1] == len(group) - 1 and len(set(whose)) == len(group):
+                for word, i in zip(whose, found.ids):
+                    own[word].append(i)
+            else:
+                own = [e.ids for e in self.tokenizer.encode_batch(group, add_special_tokens=False)]
+            out += own
+        return out
+
     def _learn(self, new: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+        split = [PIECE.findall(w) for w in new]
+        pieces = list({p for own in split for p in own}.difference(self.pieces))
+        self.pieces.update(zip(pieces, self._ids(pieces)))
+        known = self.pieces
+        found = [known[own[0]] if len(own) == 1 else [i for p in own for i in known[p]] for own in split]
         total = int(self.ends[self.words])
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         while len(self.ends) < self.words + len(new) + 1:
@@ -73,9 +94,9 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """The ids of each whole text; a null text has none."""
-        if self.words > KNOWN:
+        if self.words + len(self.pieces) > KNOWN:
             self.forget()
-        split = [PIECE.findall(t.lower()) if t and PLAIN.fullmatch(t) else None for t in texts]
+        split = [t.lower().split() if t and not OTHER.search(t) else None for t in texts]
         new = list({w for s in split if s for w in s}.difference(self.place))
         for at in range(0, len(new), 50_000):
             self._learn(new[at : at + 50_000])

@@ -11,6 +11,8 @@ Sums are kept in whole units of 2**-20, so that any engine finds the same window
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +24,8 @@ ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 ASSIGN_LEAST = 8
 ACCESS = r"AKIA[A-Z0-9]{12,}"  # 16 characters in all
 HEX = r"[0-9a-f]{32,}"
+#: Texts without any of these, in lower case, hold no match of a kind; looking for them is cheaper than the pattern.
+NEEDS = {ASSIGN: ["passw", "secret", "token", "api"], ACCESS: ["akia"]}
 KINDS = ["assign", "access", "hex", "entropy"]
 
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
@@ -71,6 +75,8 @@ def _found(df: DataFrame, name: str, pattern: str) -> DataFrame:
     """Adds ``name``: an array of (s, e, v), the places and text of the leftmost matches, ends exclusive, in characters."""
     text, empty = F.col("t"), F.lit(None).cast("array<struct<s:int,e:int,v:string>>")
     some = text.rlike(pattern)
+    if pattern in NEEDS:
+        some = reduce(or_, [F.col("low").contains(x) for x in NEEDS[pattern]]) & some
     df = df.withColumn("_v", F.when(some, F.regexp_extract_all("t", F.lit(pattern), F.lit(0))))
     df = df.withColumn("_gap", F.when(F.size("_v") > 0, F.split("t", pattern, -1)))
     df = df.withColumn("_step", F.transform("_v", lambda v, i: F.length(v) + F.length(F.get("_gap", i))))
@@ -135,6 +141,7 @@ def scan(df: DataFrame, allowed: list[str] | None = None) -> DataFrame:
 
     ``t`` must not be null. ``allowed`` are patterns that suppress a candidate of kind entropy, besides ALLOWED.
     """
+    df = df.withColumn("low", F.lower("t"))
     for name, pattern in (("assign", ASSIGN), ("access", ACCESS), ("hex", HEX), ("runs", CANDIDATE)):
         df = _found(df, f"_{name}", pattern)
     stop = [*ALLOWED, *(allowed or [])]
@@ -145,7 +152,7 @@ def scan(df: DataFrame, allowed: list[str] | None = None) -> DataFrame:
     )
     assign = F.filter("_assign", lambda x: F.length(F.regexp_extract(x["v"], ASSIGN, 2)) >= ASSIGN_LEAST)
     spans = F.concat(_of_kind(assign, 0), _of_kind(F.col("_access"), 1), _of_kind(F.col("_hex"), 2), F.when(F.size("_runs") > 0, entropy).otherwise(F.array().cast("array<struct<s:int,k:int,e:int>>")))
-    return df.withColumn("spans", F.array_sort(spans)).drop("_assign", "_access", "_hex", "_runs")
+    return df.withColumn("spans", F.array_sort(spans)).drop("_assign", "_access", "_hex", "_runs", "low")
 
 
 def listed(spans: Column) -> Column:
