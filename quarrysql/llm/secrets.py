@@ -186,11 +186,14 @@ def redacted(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     columns are kept.
     """
     df = scan(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text_of().alias("t")))
+    text = F.col("t")
+    until = lambda a: F.greatest(a["at"], F.lit(0))
     step = lambda a, x: F.when(
-        x["s"] > a["at"], F.struct(x["e"].alias("at"), F.concat(a["text"], F.expr("t").substr(a["at"] + 1, x["s"] - a["at"]), F.lit(mark)).alias("text"))
+        x["s"] > a["at"],
+        F.struct(x["e"].alias("at"), F.concat(a["text"], text.substr(until(a) + 1, x["s"] - until(a)), F.lit(mark)).alias("text")),
     ).otherwise(F.struct(F.greatest(a["at"], x["e"]).alias("at"), a["text"].alias("text")))
-    first = F.struct(F.lit(-1).alias("at"), F.lit("").alias("text"))
-    clean = F.aggregate("spans", first, step, lambda a: F.concat(a["text"], F.expr("t").substr(a["at"] + 1, F.length("t"))))
+    first = F.struct(F.lit(-1).alias("at"), F.lit("").alias("text"))  # -1: a span may begin at 0
+    clean = F.aggregate("spans", first, step, lambda a: F.concat(a["text"], text.substr(until(a) + 1, F.length(text))))
     df = df.withColumn("clean", F.when(F.size("spans") > 0, clean))
     out = []
     for c in docs.columns:
