@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,51 +50,28 @@ def anti_existing(
     return unique.join(known, "_key", "left_anti").drop("_key")
 
 
-def greedy_ids(keys: DataFrame, finish_below: int = 100_000) -> DataFrame:
+def greedy_ids(keys: DataFrame) -> DataFrame:
     """Order values of the rows a sequential two-key scan would keep.
 
-    ``keys`` holds ``ord`` (unique), ``k1`` and ``k2``. A row is kept when neither of its keys was seen
+    ``keys`` holds ``ord`` (unique), ``k1`` and ``k2``; null is a key like any other. A row is kept when neither of its keys was seen
     on a kept row before. Each round keeps the rows that come first in both of their groups, then drops
-    every row that shares a key with them; the globally first open row is always kept, so the loop
-    ends. Once at most ``finish_below`` narrow rows are open, a counted bound, one task scans them in
-    order. Every round is written out, so lost executors replay one round at most.
+    every row that shares a key with them; the globally first open row is always kept, so the rounds
+    end, at the same rows for any size. Every round is written out, so lost executors replay one round at
+    most. A chain of n rows that share first and second keys in turn takes about n / 2 rounds.
     """
+    named = lambda k: F.coalesce(F.concat(F.lit("="), F.col(k).cast("string")), F.lit("")).alias(k)
     # A later copy of the same pair can never be kept.
-    open_rows = cut_lineage(dedup_first(keys, F.struct("k1", "k2"), ("ord",)))
-    kept_rounds = []
-    while True:
-        left = open_rows.count()
-        if left <= finish_below:
-            break
+    open_rows = cut_lineage(dedup_first(keys.select("ord", named("k1"), named("k2")), F.struct("k1", "k2"), ("ord",)))
+    result = open_rows.select("ord").limit(0)
+    while not open_rows.isEmpty():
         first1 = open_rows.groupBy("k1").agg(F.min("ord").alias("ord"))
         first2 = open_rows.groupBy("k2").agg(F.min("ord").alias("ord"))
         kept = cut_lineage(first1.join(first2, "ord"))
-        kept_rounds.append(kept.select("ord"))
+        result = result.unionByName(kept.select("ord"))
         open_rows = cut_lineage(
             open_rows.join(kept.select("k1"), "k1", "left_anti").join(kept.select("k2"), "k2", "left_anti")
         )
-    ord_type = keys.schema["ord"].dataType.simpleString()
-    if left:
-        # Keys of kept rows are gone from the open rows, so the rest is a problem of its own.
-        tail = open_rows.select("ord", "k1", "k2").coalesce(1).sortWithinPartitions("ord")
-        kept_rounds.append(tail.mapInPandas(_scan_in_order, f"ord {ord_type}"))
-    result = None
-    for part in kept_rounds:
-        result = part if result is None else result.unionByName(part)
-    return result if result is not None else open_rows.select("ord")
-
-
-def _scan_in_order(batches):
-    seen1, seen2 = set(), set()
-    for pdf in batches:
-        keep = []
-        for a, b in zip(pdf["k1"], pdf["k2"], strict=True):
-            fresh = a not in seen1 and b not in seen2
-            keep.append(fresh)
-            if fresh:
-                seen1.add(a)
-                seen2.add(b)
-        yield pd.DataFrame({"ord": pdf["ord"][keep]})
+    return result
 
 
 def dedup_greedy(
@@ -104,7 +80,6 @@ def dedup_greedy(
     question_key: Column | str,
     order: str = "row_id",
     existing: DataFrame | None = None,
-    finish_below: int = 100_000,
 ) -> DataFrame:
     """Keep a row unless its SQL or its question was seen on a kept row.
 
@@ -119,7 +94,7 @@ def dedup_greedy(
     if existing is not None:
         known = existing.select(F.md5(F.col(existing.columns[0])).alias("k2")).where("k2 IS NOT NULL").distinct()
         keyed = keyed.join(known, "k2", "left_anti")
-    kept = greedy_ids(keyed, finish_below).withColumnRenamed("ord", order)
+    kept = greedy_ids(keyed).withColumnRenamed("ord", order)
     return df.join(kept, order, "left_semi")
 
 

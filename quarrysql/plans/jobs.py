@@ -60,14 +60,17 @@ def ingest(spark: SparkSession, sources: list[Source]) -> tuple[DataFrame, DataF
     fixed = written(merged.withColumn("row_id", F.monotonically_increasing_id()), "ingested")
     parts = [
         part if source.cap is None else sampling.cap_source(part, source.cap)
-        for source in sources
-        for part in [fixed.where(F.col("source") == source.name)]
+        for rank, source in enumerate(sources)
+        for part in [fixed.where(F.col("source_rank") == rank)]
     ]
     return corpus.merge_sources(parts), corpus.merge_sources(bad)
 
 
 def stage_rows(common: DataFrame, options: Options) -> DataFrame:
-    """Finished transcripts are rebuilt (A24), all other rows are formatted from their parts."""
+    """Finished transcripts are rebuilt (A24), all other rows are formatted from their parts.
+
+    Without validation finished transcripts keep their text and no row has a reject reason.
+    """
     strict = options.dialect == "postgres"
     columns = ["row_id", "source", "source_rank", "question", "sql", "reject_reason", "text"]
     has_text = F.coalesce(F.col("text"), F.lit("")) != ""
@@ -75,7 +78,9 @@ def stage_rows(common: DataFrame, options: Options) -> DataFrame:
     if options.form == "simple":
         schema = statements.canonicalize_schema("schema_ddl")
         raw = raw.withColumn("text", chat.render_simple(schema, "question", "sql"))
-    made = curation.rebuild_text(common.where(has_text), options.dialect, lint=strict)
+    made = curation.rebuild_text(common.where(has_text).withColumn("finished", F.col("text")), options.dialect, lint=strict)
+    if not options.validate:
+        made = made.withColumn("text", F.col("finished"))
     both = raw.select(*columns).unionByName(made.select(*columns))
     if not options.validate:
         both = both.withColumn("reject_reason", F.lit(None).cast("string"))

@@ -81,3 +81,17 @@ def test_append_instructions(spark):
     df = spark.createDataFrame(rows, "row_id long, instruction string, input string, response string")
     out = jobs.append_instructions(current, df).orderBy("part").collect()
     assert [r["text"] for r in out] == [LEGACY.format("Known", "SELECT 1"), LEGACY.format("New", "SELECT 'a' FROM t")]
+
+
+def test_sources_of_one_name_keep_their_rows_apart(spark, tmp_path):
+    made = [jobs.Source("same", lines(tmp_path / f"{k}.jsonl", [{"context": "", "question": k, "answer": "SELECT 1"}])) for k in "ab"]
+    common, _ = jobs.ingest(spark, made)
+    assert sorted(r.question for r in common.collect()) == ["a", "b"]
+
+
+def test_without_validation_finished_text_stays(spark, tmp_path):
+    texts = [LEGACY.format(f"q{i}", "MATCH (n:A) RETURN n") for i in range(3)]
+    made = [jobs.Source("two", lines(tmp_path / "two.jsonl", [{"text": t} for t in texts]), layout="text")]
+    common, _ = jobs.ingest(spark, made)
+    staged = jobs.stage_rows(common, jobs.Options(dialect="postgres", validate=False)).collect()
+    assert sorted(r.text for r in staged) == texts and not any(r.reject_reason for r in staged)
