@@ -171,7 +171,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     * In each bucket of a band every class is held against the one with the most company, and links join components. Then
       come rounds: in each bucket that still holds several components, a few classes from outside its largest
       component, 32 times as many in each round, are held against all classes of other components; links join
-      components again. The rounds end when every class outside the largest component has had its turn. So no pair
+      components again. A bucket is done when every class outside its largest component has had its turn, since components only
+      grow; later rounds look at the other buckets alone, and the rounds end when none is left. So no pair
       that shares a band goes untested, unless one component, the sizes or the signatures settle it, and a bucket of copies costs
       its size, not its square.
     * component_id is the smallest id of the component; null ids are larger than all others, and a component
@@ -210,6 +211,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     links, leaders = groups.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b")), 1
     led, seen = None, tested
     while True:
+        # Only buckets whose turns are not over; the first round looks at all.
         marked = members.join(groups.withColumnRenamed("node", "cls"), "cls", "left").select("bucket", "cls", "n", "bits", "score", F.coalesce("component", "cls").alias("comp"))
         marked = written(marked, "minhash-marked")
         mixed = (
@@ -220,6 +222,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         marked = written(marked.join(mixed, "bucket"), "minhash-mixed")
         stray = marked.where("comp != main")
         stray = stray if led is None else stray.join(led, ["bucket", "cls"], "left_anti")
+        rest = stray.groupBy("bucket").agg(F.count(F.lit(1)).alias("strays")).where(F.col("strays") > leaders).select("bucket")
+        members = marked.drop("comp", "main").join(rest, "bucket", "left_semi")
         turn = Window.partitionBy("bucket").orderBy(F.desc("score"), "cls")
         now = written(stray.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= leaders), "minhash-leaders")
         if now.isEmpty():
