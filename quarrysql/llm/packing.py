@@ -33,8 +33,8 @@ END = 0
 PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 #: Texts with one of these characters, or with the start of a special token, go through the tokenizer whole.
 OTHER = re.compile(r"[^\t-\r\x20-\x7e\xa0-\u012f\u0131-\u017e]|<\|")
-#: Words, and pieces of words, whose ids a worker remembers; beyond it, it starts anew.
-KNOWN = 900_000
+#: Words, and pieces of words, whose ids a worker remembers; beyond it, it starts anew. Pieces serve new words only.
+KNOWN, KNOWN_PIECES = 530_000, 100_000
 
 
 class Encoder:
@@ -94,8 +94,10 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """The ids of each whole text; a null text has none."""
-        if self.words + len(self.pieces) > KNOWN:
+        if self.words > KNOWN:
             self.forget()
+        if len(self.pieces) > KNOWN_PIECES:
+            self.pieces = {}
         split = [t.lower().split() if t and not OTHER.search(t) else None for t in texts]
         new = list({w for s in split if s for w in s}.difference(self.place))
         for at in range(0, len(new), 50_000):
