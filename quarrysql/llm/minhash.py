@@ -7,6 +7,8 @@ places, the second ranks the places; coordinate k ranks them after a turn by k p
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +25,8 @@ BANDS, ROWS = 30, 5
 #: Of the last bits of two signatures' coordinates, at most so many differ: of the 150 bits of a pair of similarity 0.8
 #: fifteen do on average, and more than 36 once in a million times. Pairs beyond it are not worth a look at the sets.
 APART = 36
+#: Bits of the odd sketch of a set: bit k tells whether an odd number of its shingles fall on k.
+ODD = 1_024
 #: Shingles ranked at a time.
 BLOCK = 2_048
 #: A list of text hashes up to this size is broadcast to the scan; beyond it the scan is joined by exchange.
@@ -86,9 +90,28 @@ def last_bits(sig: np.ndarray) -> np.ndarray:
     return np.packbits(bits).view(np.int64)
 
 
-def near_bits(a: str, b: str) -> Column:
-    """Whether few enough of two signatures' last bits differ."""
-    return sum((F.bit_count(F.col(a)[k].bitwiseXOR(F.col(b)[k])) for k in range(1, 3)), F.bit_count(F.col(a)[0].bitwiseXOR(F.col(b)[0]))) <= APART
+def odd_bits(found: np.ndarray) -> np.ndarray:
+    """The odd sketch of a set, in 64-bit numbers."""
+    at = ((found >> np.uint64(20)) % np.uint64(ODD)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=ODD) & 1).astype(np.uint8)).view(np.int64)
+
+
+def apart(a: str, b: str, longs: int) -> Column:
+    """How many bits of two columns of ``longs`` 64-bit numbers differ."""
+    return reduce(add, (F.bit_count(F.col(a)[k].bitwiseXOR(F.col(b)[k])) for k in range(longs)))
+
+
+def may_link(a: str, b: str, percent: int) -> Column:
+    """Whether two classes can be alike, from the columns n, bits and odd of the structs ``a`` and ``b``.
+
+    The sizes and the odd sketches never refuse a link: where two sketches differ, the sets differ in a shingle
+    of that place, and sets that are alike differ in at most (100 - percent) / (100 + percent) of their sizes' sum.
+    The last bits settle long texts, whose odd sketches are full.
+    """
+    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+    fits = 100 * F.least(n, m) >= percent * F.greatest(n, m)
+    fits = fits & ((100 + percent) * apart(f"{a}.odd", f"{b}.odd", ODD // 64) <= (100 - percent) * (n + m))
+    return fits & (apart(f"{a}.bits", f"{b}.bits", 3) <= APART) if percent >= 80 else fits
 
 
 def set_key(found: np.ndarray) -> bytes:
@@ -107,26 +130,26 @@ def alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, text_hash, n_shingles, cls, bands, bits) of each row; cls, bands and bits are null for a text without words."""
+    """(doc_id, text_hash, n_shingles, cls, bands, bits, odd) of each row; the last four are null for a text without words."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, keys, bands, bits, seen = [], [], [], [], {}
+            sizes, keys, bands, bits, odd, seen = [], [], [], [], [], {}
             for text in batch.column(2).to_pylist():
                 if text not in seen:
                     found = shingles(text, width)
                     sig = signature(found)
-                    seen[text] = (len(found), set_key(found), band_keys(sig), last_bits(sig)) if len(found) else (0, None, None, None)
-                for out, value in zip((sizes, keys, bands, bits), seen[text]):
+                    seen[text] = (len(found), set_key(found), band_keys(sig), last_bits(sig), odd_bits(found)) if len(found) else (0, None, None, None, None)
+                for out, value in zip((sizes, keys, bands, bits, odd), seen[text]):
                     out.append(value)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))],
-                names=["doc_id", "text_hash", "n_shingles", "cls", "bands", "bits"],
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), *(pa.array(x, pa.list_(pa.int64())) for x in (bands, bits, odd))],
+                names=["doc_id", "text_hash", "n_shingles", "cls", "bands", "bits", "odd"],
             )
 
     return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
-        run, "doc_id long, text_hash long, n_shingles long, cls binary, bands array<long>, bits array<long>"
+        run, "doc_id long, text_hash long, n_shingles long, cls binary, bands array<long>, bits array<long>, odd array<long>"
     )
 
 
@@ -173,7 +196,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
       component, 32 times as many in each round, are held against all classes of other components; links join
       components again. A bucket is done when every class outside its largest component has had its turn, since components only
       grow; later rounds look at the other buckets alone, and the rounds end when none is left. So no pair
-      that shares a band goes untested, unless one component, the sizes or the signatures settle it, and a bucket of copies costs
+      that shares a band goes untested, unless one component, the sizes or the sketches settle it, and a bucket of copies costs
       its size, not its square.
     * component_id is the smallest id of the component; null ids are larger than all others, and a component
       of null ids alone has a null component_id. A text that is null or has no words is its own component.
@@ -188,60 +211,66 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         .agg(
             F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("rep"),
             F.count(F.lit(1)).alias("rows"),
+            F.first(F.struct(F.col("n_shingles").alias("n"), "bits", "odd")).alias("sketch"),
+            F.first("bands").alias("bands"),
         ),
         "minhash-classes",
     )
-    placed = base.where(F.col("cls").isNotNull()).select("cls", F.col("n_shingles").alias("n"), "bits", "bands").dropDuplicates(["cls"])
-    placed = placed.select("cls", "n", "bits", F.explode("bands").alias("bucket"))
-    placed = written(placed, "minhash-buckets")
+    reps, drawn = classes.select("cls", "rep"), classes.select("cls", "sketch")
+
+    def known(pairs: DataFrame) -> DataFrame:
+        """The pairs that the sketches do not refuse."""
+        both = pairs.join(drawn.toDF("a", "x"), "a").join(drawn.toDF("b", "y"), "b")
+        return both.where(may_link("x", "y", percent)).select("a", "b")
+
+    placed = classes.select("cls", F.explode("bands").alias("bucket"))
     sizes = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     shared = written(placed.join(sizes, "bucket"), "minhash-shared")
     # The text that others were copied from shares the most buckets; it is the best one to hold them against.
     score = shared.groupBy("cls").agg(F.sum("size").alias("score"))
-    shared = written(shared.join(score, "cls").select("bucket", "cls", "n", "bits", "score"), "minhash-shared")
-    first = shared.groupBy("bucket").agg(F.max(F.struct("score", "cls", "n", "bits")).alias("first"))
-    members = written(shared.join(first, "bucket"), "minhash-members")
-    fits = 100 * F.least("n", "first.n") >= percent * F.greatest("n", "first.n")
-    fits = fits & near_bits("bits", "first.bits")
-    tested = members.where((F.col("cls") != F.col("first.cls")) & fits).select(F.least("first.cls", "cls").alias("a"), F.greatest("first.cls", "cls").alias("b")).distinct()
-    tested = written(tested, "minhash-tested")
-    links = confirmed(docs, classes, tested, width, percent)
+    members = written(shared.join(score, "cls").select("bucket", "cls", "score"), "minhash-members")
+    first = members.groupBy("bucket").agg(F.max(F.struct("score", "cls")).alias("first"))
+    tested = members.join(first, "bucket").where(F.col("cls") != F.col("first.cls"))
+    tested = tested.select(F.least("first.cls", "cls").alias("a"), F.greatest("first.cls", "cls").alias("b")).distinct()
+    tested = written(known(tested), "minhash-tested")
+    links = confirmed(docs, reps, tested, width, percent)
     groups = components(links, "minhash-groups")
 
     links, leaders = groups.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b")), 1
     led, seen = None, tested
     while True:
         # Only buckets whose turns are not over; the first round looks at all.
-        marked = members.join(groups.withColumnRenamed("node", "cls"), "cls", "left").select("bucket", "cls", "n", "bits", "score", F.coalesce("component", "cls").alias("comp"))
+        marked = members.join(groups.withColumnRenamed("node", "cls"), "cls", "left").select("bucket", "cls", "score", F.coalesce("component", "cls").alias("comp"))
         marked = written(marked, "minhash-marked")
         mixed = (
             marked.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket")
             .agg(F.max(F.struct("n", "comp")).alias("main"), F.count(F.lit(1)).alias("comps"))
             .where("comps > 1").select("bucket", F.col("main.comp").alias("main"))
         )
-        marked = written(marked.join(mixed, "bucket"), "minhash-mixed")
+        marked = written(marked.join(mixed, "bucket").join(drawn, "cls"), "minhash-mixed")
         stray = marked.where("comp != main")
         stray = stray if led is None else stray.join(led, ["bucket", "cls"], "left_anti")
         rest = stray.groupBy("bucket").agg(F.count(F.lit(1)).alias("strays")).where(F.col("strays") > leaders).select("bucket")
-        members = marked.drop("comp", "main").join(rest, "bucket", "left_semi")
+        members = marked.select("bucket", "cls", "score").join(rest, "bucket", "left_semi")
         turn = Window.partitionBy("bucket").orderBy(F.desc("score"), "cls")
         now = written(stray.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= leaders), "minhash-leaders")
         if now.isEmpty():
             break
         led = now.select("bucket", "cls") if led is None else led.unionByName(now.select("bucket", "cls"))
         across = (
-            now.select("bucket", F.col("cls").alias("s"), F.col("comp").alias("s_comp"), F.col("n").alias("s_n"), F.col("bits").alias("s_bits"))
-            .join(marked.select("bucket", "cls", "comp", "n", "bits"), "bucket")
-            .where((F.col("comp") != F.col("s_comp")) & (100 * F.least("n", "s_n") >= percent * F.greatest("n", "s_n")) & near_bits("bits", "s_bits"))
+            now.select("bucket", F.col("cls").alias("s"), F.col("comp").alias("s_comp"), F.col("sketch").alias("s_sketch"))
+            .join(marked.select("bucket", "cls", "comp", "sketch"), "bucket")
+            .where((F.col("comp") != F.col("s_comp")) & may_link("sketch", "s_sketch", percent))
             .select(F.least("s", "cls").alias("a"), F.greatest("s", "cls").alias("b")).distinct()
             .join(seen, ["a", "b"], "left_anti")
         )
         across = written(across, "minhash-across")
-        seen = seen.unionByName(across)
-        more = confirmed(docs, classes, across, width, percent)
-        if not more.isEmpty():
-            links = written(links.unionByName(more), "minhash-links")
-            groups = components(links, "minhash-groups")
+        if not across.isEmpty():
+            seen = seen.unionByName(across)
+            more = confirmed(docs, reps, across, width, percent)
+            if not more.isEmpty():
+                links = written(links.unionByName(more), "minhash-links")
+                groups = components(links, "minhash-groups")
         leaders *= 32
 
     labelled = classes.join(groups.withColumnRenamed("node", "cls"), "cls", "left").select(
