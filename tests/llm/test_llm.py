@@ -196,6 +196,17 @@ def test_near_duplicates_equal_brute_force(spark, sf, texts, width):
     assert {r.doc_id for r in minhash.without_copies(docs, width, 80).collect()} == {i for i in want if want[i] == i}
 
 
+def test_odd_sketches_refuse_no_link():
+    draw = np.random.default_rng(3)
+    for size in (1, 9, 90, 900, 9_000):
+        a = np.unique(draw.integers(0, 2**63, size).astype(np.uint64))
+        for changed in range(0, size // 9 + 1, max(1, size // 45)):
+            b = np.unique(np.concatenate([a[changed:], draw.integers(0, 2**63, changed).astype(np.uint64)]))
+            differ = int(np.bitwise_count((minhash.odd_bits(a) ^ minhash.odd_bits(b)).view(np.uint64)).sum())
+            assert differ <= len(np.setxor1d(a, b))
+            assert not minhash.alike(a, b, 80) or 180 * differ <= 20 * (len(a) + len(b))
+
+
 def vectors(spark, sf):
     rows = [(r.vec_id, r.embedding, r.label) for r in table(spark, sf, "embeddings").collect()]
     base = rows[0][1]
