@@ -651,17 +651,17 @@ CORPUS_SQL: dict[str, str] = {
         FROM staged GROUP BY source""",
     "a78_reject_report": f"""{RAW}, {STAGED} SELECT source, reject_reason, count(*) AS n FROM staged
         WHERE reject_reason IS NOT NULL GROUP BY source, reject_reason""",
-    "a78_file_report": f"""{FOUND}, uniqf AS {first_wins('found', 'substr(sql, 1, 200)', 'path, stmt_no')},
+    "a78_file_report": f"""{FOUND}, uniqf AS {first_wins('found', 'sql', 'path, stmt_no')},
         named AS (SELECT path FROM code_files
           WHERE lower(ext) IN ({', '.join(lit(e) for e in extract.SQL_EXTENSIONS)}) OR contains(lower(path), 'sql'))
         SELECT (SELECT count(*) FROM named) AS files_checked, count(DISTINCT path) AS files_with_sql,
           (SELECT count(*) FROM uniqf WHERE {lint('sql')} IS NULL) AS valid_statements,
           count(DISTINCT path) * 100.0::DOUBLE / (SELECT count(*) FROM named) AS success_pct FROM found""",
     "e1_curated_corpus": f"{RAW}, {STAGED} SELECT row_id, sql_type, text FROM {balanced('uniq')}",
-    "e2_code_transcripts": f"""{FOUND}, uniqf AS {first_wins('found', 'substr(sql, 1, 200)', 'path, stmt_no')}
+    "e2_code_transcripts": f"""{FOUND}, uniqf AS {first_wins('found', 'sql', 'path, stmt_no')}
         SELECT path, stmt_no, {legacy_text('schema_ddl', 'instruction', 'sql')} AS text FROM uniqf WHERE {lint('sql')} IS NULL""",
     "e2_merged_corpus": f"""{ctes('chat', 'code_files')}, {STATEMENTS.replace('kept', 'long_enough')},
-        uniqf AS {first_wins('found', 'substr(sql, 1, 200)', 'path, stmt_no')},
+        uniqf AS {first_wins('found', 'sql', 'path, stmt_no')},
         scripts AS (SELECT CAST(regexp_extract(path, '([0-9]+)[.][A-Za-z]+$', 1) AS BIGINT) * 1000 + stmt_no AS row_id,
           {legacy_text('schema_ddl', 'instruction', 'sql')} AS text FROM uniqf WHERE {lint('sql')} IS NULL),
         cands AS MATERIALIZED {merge_keys('scripts', 'row_id, text')},

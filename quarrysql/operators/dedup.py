@@ -27,8 +27,8 @@ def dedup_first(df: DataFrame, key: Column | str, order: tuple[str, ...] = ORDER
     return df.withColumn("_rn", F.row_number().over(first)).where("_rn = 1").drop("_rn")
 
 
-def dedup_prefix(df: DataFrame, sql: str = "sql", width: int = 200, order: tuple[str, ...] = ORDER) -> DataFrame:
-    """First row per leading ``width`` characters. Runs before the gate: refused rows count as seen."""
+def dedup_prefix(df: DataFrame, width: int, sql: str = "sql", order: tuple[str, ...] = ORDER) -> DataFrame:
+    """First row per leading ``width`` characters; statements that differ only later are dropped."""
     return dedup_first(df, F.substring(sql, 1, width), order)
 
 

@@ -66,12 +66,12 @@ def within_sample(
     return F.struct(hash_hex(id_col, salt).alias("h"), F.col(id_col).cast("bigint").alias("id")) <= cut
 
 
-def cap_source(df: DataFrame, n: int = 10_000, id_col: str = "row_id", salt: str = "cap") -> DataFrame:
+def cap_source(df: DataFrame, n: int, id_col: str = "row_id", salt: str = "cap") -> DataFrame:
     """Exactly ``n`` rows by hash order when there are more, else all."""
     return df.where(within_sample(df, lambda total, others: F.lit(n), id_col, salt))
 
 
-def first_rows(df: DataFrame, n: int = 10_000, id_col: str = "row_id") -> DataFrame:
+def first_rows(df: DataFrame, n: int, id_col: str = "row_id") -> DataFrame:
     """A04, other mode: the first ``n`` rows by id.
 
     The buckets are equal slices of the id range. Ids given out per input split stay spread over them.

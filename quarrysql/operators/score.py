@@ -30,18 +30,18 @@ def leaderboard(scored: DataFrame, models: list[str]) -> DataFrame:
     return board.withColumn("best", rank == 1)
 
 
-def _of_model(scored: DataFrame, model: str, suffix: str) -> DataFrame:
-    return scored.where(F.col("model") == model).select(
-        "case_id",
-        "category",
-        F.col("is_sql").alias(f"is_sql_{suffix}"),
-        F.col("has_keyword").alias(f"has_keyword_{suffix}"),
-    )
+def _of_model(model: str, name: str) -> Column:
+    """``name`` in the row of ``model``, inside a grouping; null where the model has no row."""
+    return F.max(F.when(F.col("model") == model, F.col(name)))
 
 
 def version_diff(scored: DataFrame, current: str, previous: str) -> DataFrame:
-    """Cases that changed, gains and losses."""
-    both = _of_model(scored, current, "cur").join(_of_model(scored, previous, "prev"), ["case_id", "category"])
+    """Cases that changed, gains and losses. A case without a category is a case like any other."""
+    known = ("is_sql", "has_keyword")
+    both = scored.where(F.col("model").isin(current, previous)).groupBy("case_id", "category").agg(
+        *[_of_model(current, c).alias(f"{c}_cur") for c in known],
+        *[_of_model(previous, c).alias(f"{c}_prev") for c in known],
+    )
     change = (
         F.when(F.col("is_sql_cur") & ~F.col("is_sql_prev"), "now valid")
         .when(~F.col("is_sql_cur") & F.col("is_sql_prev"), "no longer valid")
@@ -53,11 +53,11 @@ def version_diff(scored: DataFrame, current: str, previous: str) -> DataFrame:
 
 def pass_rule(scores: DataFrame, base: str, candidate: str, tolerance: Column) -> DataFrame:
     """The candidate passes a case when its score reaches base times tolerance."""
-
-    def of(model: str, name: str) -> DataFrame:
-        return scores.where(F.col("model") == model).select("case_id", F.col("score").alias(name))
-
-    both = of(base, "base_score").join(of(candidate, "candidate_score"), "case_id")
+    both = scores.where(F.col("model").isin(base, candidate)).groupBy("case_id").agg(
+        _of_model(base, "score").alias("base_score"), _of_model(candidate, "score").alias("candidate_score"),
+        *[F.count_if(F.col("model") == m).alias(f"_{i}") for i, m in enumerate((base, candidate))],
+    )
+    both = both.where("_0 > 0 AND _1 > 0").drop("_0", "_1")
     return both.withColumn("passed", F.col("candidate_score") >= F.col("base_score") * tolerance)
 
 

@@ -282,7 +282,7 @@ def a36_dedup_greedy(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def a37_dedup_prefix(spark: SparkSession, sf: str) -> DataFrame:
-    return dedup.dedup_prefix(_raw(spark, sf)).select("row_id", "sql")
+    return dedup.dedup_prefix(_raw(spark, sf), 200).select("row_id", "sql")
 
 
 @query

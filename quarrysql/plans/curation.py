@@ -86,23 +86,23 @@ def curate(
 
 
 def accepted_statements(found: DataFrame) -> DataFrame:
-    """Extracted statements, one per prefix, that pass the gate."""
-    unique = dedup.dedup_prefix(found, order=("path", "stmt_no"))
+    """Extracted statements, each whole text once, that pass the gate. Refused rows count as seen."""
+    unique = dedup.dedup_first(found, F.sha2("sql", 256), order=("path", "stmt_no"))
     return statements.gate(unique).where("reject_reason IS NULL AND instruction <> ''").drop("reject_reason")
 
 
 def code_transcripts(files: DataFrame, dialect: str = "sql") -> DataFrame:
-    """Code files to legacy transcripts: select, extract, dedup by prefix, gate, format."""
+    """Code files to legacy transcripts: select, extract, dedup, gate, format."""
     good = accepted_statements(extract.extract_statements(extract.select_sql_files(files)))
     return good.select(
         "path", "stmt_no", chat.render_legacy("schema_ddl", "instruction", "sql", dialect).alias("text")
     )
 
 
-def merge_code(current: DataFrame, transcripts: DataFrame, order: str, cap: int | None = 10_000) -> DataFrame:
+def merge_code(current: DataFrame, transcripts: DataFrame, order: str, cap: int | None = None) -> DataFrame:
     """New transcripts that repeat neither a kept statement nor a known question, appended.
 
-    ``order`` is a unique numeric id of the transcripts; ``cap`` is the usual limit for a source of this kind.
+    ``order`` is a unique numeric id of the transcripts; ``cap``, where given, limits the transcripts.
     The candidates are written once: the rounds read their keys, the result their text.
     """
     limited = transcripts if cap is None else sampling.cap_source(transcripts, cap, order)

@@ -24,15 +24,19 @@ def local_session(app: str = "quarrysql", cores: str = "*", shuffle: int = 8) ->
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir``, or a temporary one in local mode."""
+    """Folder every executor can reach: ``spark.checkpoint.dir``, else the context's own checkpoint folder.
+
+    Where neither is set, local mode gets a temporary folder, and a cluster is refused.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    made = tempfile.mkdtemp(prefix="quarrysql-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="quarrysql-"))
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -86,7 +86,7 @@ def test_first_wins_limits_groups_before_the_exchange(spark):
 def test_prefix(spark):
     rows = [(0, 1, "x" * 200 + "a"), (0, 2, "x" * 200 + "b"), (0, 3, "y")]
     df = spark.createDataFrame(rows, "source_rank int, row_id long, sql string")
-    assert sorted(r["row_id"] for r in dedup.dedup_prefix(df).collect()) == [1, 3]
+    assert sorted(r["row_id"] for r in dedup.dedup_prefix(df, 200).collect()) == [1, 3]
 
 
 def test_anti_existing_drops_rows_without_a_key(spark):

@@ -255,3 +255,23 @@ def test_hot_group_is_not_exchanged(spark, monkeypatch):
     out = skew.join_group_rows(df, groups, ["k"], "n")
     want = sorted(((k, x, max(b for a, b in rows if a == k)) for k, x in rows), key=str)
     assert sorted((tuple(r) for r in out.collect()), key=str) == want
+
+
+def test_reports_pair_models_without_a_join(spark):
+    from quarrysql.operators import score
+
+    rows = [(1, None, "a", True, False, 0.5), (1, None, "b", False, True, 0.7), (2, "x", "a", True, True, 1.0)]
+    rows += [(3, "y", "a", True, False, None), (3, "y", "b", True, True, 0.2), (3, "y", "c", False, False, 0.1)]
+    df = spark.createDataFrame(rows, "case_id int, category string, model string, is_sql boolean, has_keyword boolean, score double")
+    diff = {(r["case_id"], r["category"]): r["change"] for r in score.version_diff(df, "a", "b").collect()}
+    assert diff == {(1, None): "now valid", (3, "y"): "lost keyword"}
+    out = score.pass_rule(df, "b", "a", F.lit(0.8))
+    assert sorted(tuple(r) for r in out.collect()) == [(1, 0.7, 0.5, False), (3, 0.2, None, None)]
+    assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_statements_that_differ_late_are_kept(spark):
+    long = "SELECT '" + "x" * 300 + "'"
+    rows = [("a", 0, long, "I"), ("b", 0, long + " AS y", "I"), ("c", 0, long, "I")]
+    df = spark.createDataFrame(rows, "path string, stmt_no int, sql string, instruction string")
+    assert sorted(r["path"] for r in curation.accepted_statements(df).collect()) == ["a", "b"]
