@@ -290,6 +290,19 @@ def test_language_model_equals_brute_force(spark):
         assert r.score == pytest.approx(brute_ppm([t.encode() for t in learn.values()], text.encode()), rel=1e-4)
 
 
+def test_language_model_keeps_all_contexts(spark):
+    r = np.random.default_rng(7)
+    letters = [chr(c) for c in range(33, 127)]
+    out = [i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2][:2]
+    learn = {i: "".join(r.choice(letters, 40_000)) for i in [k for k in range(100) if zlib.crc32(str(k).encode()) % 7 != 2][:3]}
+    texts = learn | {i: t[-300:] + "é" for i, t in zip(out, learn.values())}
+    contexts = {t[k : k + 3] for t in learn.values() for k in range(len(t) - 2)}
+    assert len(contexts) > 100_000
+    found = {r.doc_id: r.score for r in ppm.report(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    for i in out:
+        assert found[i] == pytest.approx(brute_ppm([t.encode() for t in learn.values()], texts[i].encode()), rel=1e-6)
+
+
 def held_out(spark, sf, label, score):
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
     found = {r.doc_id: r.s for r in docs.select("doc_id", score(docs, labels).alias("s")).collect()}
