@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from quarrysql.llm.common import labelled_sample, small_batches
 
-#: Training texts, and windows of each, read at most: the documented bounds of the sample.
-SAMPLE, WINDOWS = 4_000, 48
+#: Training texts read at most, each whole: the documented bound of the sample.
+SAMPLE = 4_000
 WIDTH, STRIDE = 32, 24
 WORD_BITS, PAIR_BITS, INPUT, HIDDEN = 15, 12, 8, 8
 #: Rounds, least updates in a round, windows in an update, step.
@@ -271,7 +271,7 @@ def fitted(texts: list[tuple[list[list[bytes]], int]], seed: int = 5) -> Network
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE) -> Network:
-    """A network from at most ``sample`` labelled texts, of each at most WINDOWS windows, spread over the whole text.
+    """A network from at most ``sample`` labelled texts, of each all windows.
 
     Executors cut the windows; only those reach the driver. Without labels of both kinds all texts have one score.
     """
@@ -283,9 +283,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int
         out = []
         for text in texts:
             own = words(text)
-            begin = starts(len(own))
-            begin = [begin[k] for k in np.unique(np.linspace(0, len(begin) - 1, min(len(begin), WINDOWS)).astype(int))]
-            out.append([b" ".join(own[b : b + WIDTH]) for b in begin])
+            out.append([b" ".join(own[b : b + WIDTH]) for b in starts(len(own))])
         return pd.Series(out)
 
     rows = docs.select(F.col("doc_id").alias("id"), "text").join(chosen, "id").select("id", "y", cut("text").alias("w")).collect()

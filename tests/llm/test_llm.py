@@ -316,6 +316,18 @@ def test_quality_separates_held_out_texts(spark):
     assert held_out(spark, "/root/testdata/sf0.01", "quality", lambda d, x: quality.scorer(spark, quality.train(d, x))) > 0.95
 
 
+def test_toxicity_trains_on_whole_texts(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "fitted", lambda texts: seen.extend(texts))
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    text = " ".join(letters[i // 676] + letters[i // 26 % 26] + letters[i % 26] for i in range(5_000))
+    key = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 5)
+    docs = spark.createDataFrame([(key, text)], "doc_id long, text string")
+    toxicity.train(docs, spark.createDataFrame([(key, 1)], "doc_id long, toxic int"))
+    own = text.encode().split()
+    assert seen == [([own[b : b + toxicity.WIDTH] for b in toxicity.starts(len(own))], 1)]
+
+
 def test_toxicity_learns_words():
     r = np.random.default_rng(3)
     plain = [f"w{chr(97 + a)}{chr(97 + b)}".encode() for a in range(20) for b in range(20)]
