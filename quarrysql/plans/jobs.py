@@ -69,16 +69,21 @@ def ingest(spark: SparkSession, sources: list[Source]) -> tuple[DataFrame, DataF
 def stage_rows(common: DataFrame, options: Options) -> DataFrame:
     """Finished transcripts are rebuilt (A24), all other rows are formatted from their parts.
 
-    Without validation finished transcripts keep their text and no row has a reject reason.
+    Without validation finished transcripts keep their text and no row has a reject reason. ``question_key`` is the whole
+    question; of finished transcripts without answer and user turn the whole text, hashed; null where there is no question.
     """
     strict = options.dialect == "postgres"
-    columns = ["row_id", "source", "source_rank", "question", "sql", "reject_reason", "text"]
+    columns = ["row_id", "source", "source_rank", "question", "sql", "reject_reason", "text", "question_key"]
     has_text = F.coalesce(F.col("text"), F.lit("")) != ""
     raw = curation.stage(common.where(~has_text).drop("text"), options.dialect, lint=strict)
     if options.form == "simple":
         schema = statements.canonicalize_schema("schema_ddl")
         raw = raw.withColumn("text", chat.render_simple(schema, "question", "sql"))
     made = curation.rebuild_text(common.where(has_text).withColumn("finished", F.col("text")), options.dialect, lint=strict)
+    asked = lambda c: F.when(c != "", F.concat(F.lit("="), c))
+    raw = raw.withColumn("question_key", asked(F.col("question")))
+    turn = chat.user_question("finished", F.lit(""))
+    made = made.withColumn("question_key", F.coalesce(asked(turn), F.when(F.col("sql") == "", F.sha2("finished", 256))))
     if not options.validate:
         made = made.withColumn("text", F.col("finished"))
     both = raw.select(*columns).unionByName(made.select(*columns))
@@ -99,7 +104,9 @@ def build_corpus(spark: SparkSession, sources: list[Source], out: str, options:
     profile.reject_report(staged).write.mode("errorifexists").json(f"{out}/rejects")
     broken.write.mode("errorifexists").json(f"{out}/quarantine")
     passed = curation.passed(staged, options.min_length, options.max_length)
-    unique = dedup.dedup_first(passed, "question") if options.deduplicate else passed
+    # Rows without a question are no duplicates of each other.
+    key = F.struct("question_key", F.when(F.col("question_key").isNull(), F.col("row_id")))
+    unique = dedup.dedup_first(passed, key) if options.deduplicate else passed
     unique = written(unique.select("row_id", "source", "sql", "sql_type", "text"), "unique")
     final = sampling.rebalance(unique, options.select_ratio) if options.rebalance else unique
     params = {k: str(v) for k, v in asdict(options).items()}

@@ -67,6 +67,17 @@ def test_encoded_corpus(spark, tmp_path):
     assert all(len(r["input_ids"]) == 8 for r in rows.collect())
 
 
+def test_rows_without_a_question_are_no_duplicates(spark, tmp_path):
+    answer = "<|im_start|>system\nS<|im_end|>\n<|im_start|>assistant\nSELECT {} FROM t<|im_end|>\n"
+    bare = "x" * 120
+    rows = [{"text": answer.format(i)} for i in (1, 2)] + [{"text": bare + c} for c in "aba"]
+    source = jobs.Source("t", lines(tmp_path / "t.jsonl", rows), layout="text")
+    jobs.build_corpus(spark, [source], str(tmp_path / "out"), jobs.Options(rebalance=False))
+    texts = [r["text"] for r in read(tmp_path / "out" / "train")]
+    assert sum("SELECT 1" in t for t in texts) == 1 and sum("SELECT 2" in t for t in texts) == 1
+    assert sorted(t for t in texts if t.startswith("x")) == [bare + "a", bare + "b"]
+
+
 def test_source_cap(spark, tmp_path):
     capped = [jobs.Source(s.name, s.path, s.layout, cap=5) for s in sources(tmp_path)]
     common, bad = jobs.ingest(spark, capped)
