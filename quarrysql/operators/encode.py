@@ -72,3 +72,17 @@ def encode_fixed(df: DataFrame, vocabulary: DataFrame, id_col: str, text: str =
     return full.select(id_col, padded.alias("input_ids"), mask.alias("attention_mask")).withColumn(
         "labels", F.col("input_ids")
     )
+
+
+def encode_further(df: DataFrame, vocabulary: DataFrame, id_col: str, text: str = "text", max_len: int = 1536) -> DataFrame:
+    """What ``encode_fixed`` leaves of texts of more than ``max_len`` tokens, in further windows of ``max_len`` entries.
+
+    ``window`` counts from 1; the last window of a text is padded. With the rows of ``encode_fixed`` each token appears once.
+    """
+    long = df.select(F.col(id_col), tokens(F.col(text)).alias("_w")).where(F.size("_w") > max_len)
+    numbers = F.sequence(F.lit(1), F.floor((F.size("_w") - 1) / max_len).cast("int"))
+    cut = long.select(id_col, "_w", F.explode(numbers).alias("window")).select(
+        F.struct(id_col, "window").alias("_key"), F.array_join(F.slice("_w", F.col("window") * max_len + 1, max_len), " ").alias("_text")
+    )
+    encoded = encode_fixed(cut, vocabulary, "_key", "_text", max_len)
+    return encoded.select(f"_key.{id_col}", "_key.window", "input_ids", "attention_mask", "labels")

@@ -95,7 +95,8 @@ def stage_rows(common: DataFrame, options: Options) -> DataFrame:
 def build_corpus(spark: SparkSession, sources: list[Source], out: str, options: Options | None = None) -> DataFrame:
     """Reads, stages, gates, deduplicates, balances and writes a corpus; returns its metadata row.
 
-    ``out`` gets ``train`` (text lines) or ``train_tokenized`` (columnar, split), ``metadata``,
+    ``out`` gets ``train`` (text lines) or ``train_tokenized`` and ``train_tokenized_further`` (columnar, split;
+    further windows of texts longer than one), ``metadata``,
     ``rejects`` and ``quarantine``.
     """
     options = options or Options()
@@ -115,6 +116,9 @@ def build_corpus(spark: SparkSession, sources: list[Source], out: str, options:
         vocabulary = encode.build_vocabulary(final)
         encoded = encode.encode_fixed(final, vocabulary, "row_id", max_len=options.sequence_length)
         corpus.write_columnar(sampling.train_val_split(encoded, exact=True).drop("row_id"), f"{out}/train_tokenized")
+        further = encode.encode_further(final, vocabulary, "row_id", max_len=options.sequence_length)
+        splits = sampling.train_val_split(final, exact=True).select("row_id", "split")
+        corpus.write_columnar(further.join(splits, "row_id"), f"{out}/train_tokenized_further")
         vocabulary.write.mode("errorifexists").parquet(f"{out}/vocabulary")
         metadata = corpus.corpus_metadata(sampling.train_val_split(final, exact=True), params)
     else:

@@ -116,6 +116,18 @@ def test_encode(spark, monkeypatch):
         assert r["attention_mask"] == [1] * len(want) + [0] * (5 - len(want))
 
 
+def test_encode_further_windows(spark):
+    docs = {1: "b a  a\tc d e f", 2: "a b", 3: "a b c d e", 4: "a b c d e f", 5: None}
+    df = spark.createDataFrame(list(docs.items()), "id long, text string")
+    vocabulary = encode.build_vocabulary(df)
+    number = {r["token"]: r["token_id"] for r in vocabulary.collect()}
+    found = {(r["id"], r["window"]): r for r in encode.encode_further(df, vocabulary, "id", max_len=2).collect()}
+    want = {(i, k): [number[w] for w in (t or "").split()][2 * k : 2 * k + 2] for i, t in docs.items() for k in range(1, 4)}
+    want = {k: v for k, v in want.items() if v}
+    assert {k: [x for x in r["input_ids"] if x] for k, r in found.items()} == want
+    assert all(len(r["input_ids"]) == 2 and sum(r["attention_mask"]) == len(want[k]) for k, r in found.items())
+
+
 def ranks(values):
     ordered = sorted(values)
     distinct = sorted(set(values))
