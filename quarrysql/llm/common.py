@@ -12,6 +12,8 @@ from quarrysql.session import written
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows of text per Arrow batch. Texts can be long, and the default of 10,000 rows can exceed a worker.
 TEXT_ROWS = 500
+#: Bytes per Arrow batch; a batch holds one row at least.
+TEXT_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,8 +33,9 @@ def local(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Sends texts to Python workers in batches of ``TEXT_ROWS`` rows."""
+    """Sends texts to Python workers in batches of ``TEXT_ROWS`` rows or ``TEXT_BYTES`` bytes, whichever are fewer."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(TEXT_BYTES))
 
 
 def text_of(column: str = "text") -> Column:

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrysql.llm import cosine, minhash, mixing, neighbours, packing, ppm, quality, secrets, sharding, toxicity
+from quarrysql.llm import cosine, fim, language, merkle, minhash, mixing, neighbours, packing, ppm, quality, secrets, sharding, toxicity
+from quarrysql.llm.check_sql import CHECK_SQL
 from quarrysql.llm.common import is_fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +61,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= quality.ACCEPT).cast("int"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.report(table(spark, sf_dir, "documents"))
+
+
+def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.report(table(spark, sf_dir, "documents"), parts=4, held=2)
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_entropy_mix": op1_entropy_mix,
     "op2_secret_scan": op2_secret_scan,
@@ -71,6 +84,9 @@ QUERIES: dict[str, Query] = {
     "op8_spherical_kmeans": op8_spherical_kmeans,
     "op9_ppm": op9_ppm,
     "op10_quality": op10_quality,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_language": op12_language,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = CHECK_SQL
