@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,9 +15,9 @@ from quarrysql.session import written
 #: A word, as every contract of this package counts them.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows of text per Arrow batch. Texts can be long, and the default of 10,000 rows can exceed a worker.
-TEXT_ROWS = 500
+TEXT_ROWS = 2_000
 #: Bytes per Arrow batch; a batch holds one row at least.
-TEXT_BYTES = 8 << 20
+TEXT_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +42,14 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(TEXT_BYTES))
 
 
+def freed() -> None:
+    """Gives memory that a worker no longer uses back to the machine, at the end of a task that used much."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def text_of(column: str = "text") -> Column:
     """A text, with null read as empty."""
     return F.coalesce(F.col(column), F.lit(""))

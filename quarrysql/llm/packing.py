@@ -17,11 +17,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarrysql.llm.common import numbered, small_batches
+from quarrysql.llm.common import freed, numbered, small_batches
 from quarrysql.session import written
 
 ROOM = 2_048
@@ -29,86 +28,157 @@ TOKENIZER = "word_bpe_49k.json"
 #: Id after each document.
 END = 0
 
-# How the tokenizer file splits a text into words.
-PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 #: Texts with one of these characters, or with the start of a special token, go through the tokenizer whole.
 OTHER = re.compile(r"[^\t-\r\x20-\x7e\xa0-\u012f\u0131-\u017e]|<\|")
-#: Words, and pieces of words, whose ids a worker remembers; beyond it, it starts anew. Pieces serve new words only.
-KNOWN, KNOWN_PIECES = 530_000, 100_000
+#: Words whose ids a worker remembers, some 60 bytes each; beyond it, it starts anew.
+KNOWN = 1_400_000
+#: A text with a longer word goes through the tokenizer whole. Texts are looked at so many bytes at a time.
+LONGEST, STRETCH = 255, 1 << 19
+#: Stands between words that are learnt together: its id tells where the ids of the next word begin.
+BREAK, LEARNT = "<|endoftext|>", 200
+_BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
 
 class Encoder:
-    """Ids of texts. No token spans white space, and most words come back: the ids of words are remembered."""
+    """Ids of texts. No token spans white space, and most words come back: the ids of words are remembered.
+
+    Words are known by two hashes of 64 bits, computed for all words of a stretch of text at once; a table sorted by the first
+    holds the second and where the ids are. No word becomes an object of Python unless it is new.
+    """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.end = self.tokenizer.token_to_id(BREAK)
+        with np.errstate(over="ignore"):
+            self.powers = [np.cumprod(np.full(STRETCH + LONGEST + 3, b, np.uint64)) for b in _BASES]
         self.forget()
 
     def forget(self) -> None:
-        self.pieces: dict[str, list[int]] = {}
-        self.place: dict[str, int] = {}
-        self.ids = np.empty(1 << 16, np.uint32)
-        self.ends = np.zeros(1 << 14, np.int64)  # where the ids of a word end; those of the next begin there
-        self.words = 0
-
-    def _ids(self, new: list[str]) -> list[list[int]]:
-        """The ids of each word. Words go through the tokenizer many at a time, with blanks between; it says which id is whose."""
-        out: list[list[int]] = []
-        groups = [new[k : k + 200] for k in range(0, len(new), 200)]
-        for group, found in zip(groups, self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)):
-            own: list[list[int]] = [[] for _ in group]
-            whose = found.word_ids
-            if whose and whose[-1] == len(group) - 1 and len(set(whose)) == len(group):
-                for word, i in zip(whose, found.ids):
-                    own[word].append(i)
-            else:
-                own = [e.ids for e in self.tokenizer.encode_batch(group, add_special_tokens=False)]
-            out += own
-        return out
-
-    def _learn(self, new: list[str]) -> None:
-        split = [PIECE.findall(w) for w in new]
-        pieces = list({p for own in split for p in own}.difference(self.pieces))
-        self.pieces.update(zip(pieces, self._ids(pieces)))
-        known = self.pieces
-        found = [known[own[0]] if len(own) == 1 else [i for p in own for i in known[p]] for own in split]
-        total = int(self.ends[self.words])
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        while len(self.ends) < self.words + len(new) + 1:
-            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-        while len(self.ids) < total + int(sizes.sum()):
+        self.keys, self.checks = np.empty(0, np.uint64), np.empty(0, np.uint64)
+        self.at, self.sizes = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.ids, self.used = np.empty(1 << 16, np.uint32), 0
+
+    def _hashes(self, line: bytes) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        """Begin and end of each word of a line that begins and ends with a blank, and their hashes."""
+        buffer = np.frombuffer(line, np.uint8)
+        blank = (buffer == 32) | ((buffer >= 9) & (buffer <= 13))
+        border = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+        begin, end = border[::2], border[1::2]
+        value = buffer.astype(np.uint64) + np.uint64(1)
+        found = []
+        for powers in self.powers:
+            sums = np.cumsum(value * powers[: len(value)])
+            found.append((sums[end - 1] - sums[begin - 1]) * powers[len(powers) - 1 - begin])
+        return begin, end, found
+
+    def _learn(self, words: list[str], keys: np.ndarray, checks: np.ndarray) -> None:
+        """Remembers new words; ``keys`` are sorted, and none of them is known."""
+        made = self.tokenizer.encode_batch([BREAK.join(words[k : k + LEARNT]) + BREAK for k in range(0, len(words), LEARNT)], add_special_tokens=False)
+        ids = np.concatenate([np.array(e.ids, np.uint32) for e in made])
+        breaks = np.flatnonzero(ids == self.end)
+        if len(breaks) != len(words):
+            raise ValueError("the tokenizer does not keep its special token apart")
+        sizes = np.diff(breaks, prepend=-1) - 1
+        ids = ids[ids != self.end]
+        while len(self.ids) < self.used + len(ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.ends[self.words + 1 : self.words + 1 + len(new)] = total + np.cumsum(sizes)
-        self.ids[total : total + int(sizes.sum())] = np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes.sum()))
-        self.place.update(zip(new, range(self.words, self.words + len(new))))
-        self.words += len(new)
+        self.ids[self.used : self.used + len(ids)] = ids
+        place = np.searchsorted(self.keys, keys)
+        for name, new in (("keys", keys), ("checks", checks), ("at", self.used + np.cumsum(sizes) - sizes), ("sizes", sizes)):
+            setattr(self, name, np.insert(getattr(self, name), place, new))
+        self.used += len(ids)
+
+    def _stretches(self, text: bytes) -> list[bytes] | None:
+        """A text in stretches that end before white space; None if there is a word too long for that."""
+        out, at = [], 0
+        while len(text) - at > STRETCH:
+            cut = max(text.rfind(mark, at, at + STRETCH) for mark in (b" ", b"\n"))
+            if cut <= at:
+                return None
+            out.append(text[at:cut])
+            at = cut
+        return [*out, text[at:]]
+
+    def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        """The ids of each whole text; a null text has none."""
+        lines: list[tuple[int, bytes]] = []
+        whole = set()
+        for k, text in enumerate(texts):
+            if text:
+                parts = None if OTHER.search(text) else self._stretches(text.lower().replace("\xa0", " ").encode())
+                if parts is None:
+                    whole.add(k)
+                else:
+                    lines += [(k, p) for p in parts]
+        owner, hashes, words = [np.empty(0, np.int64)], [[np.empty(0, np.uint64)], [np.empty(0, np.uint64)]], []
+        group: list[tuple[int, bytes]] = []
+
+        def looked_at() -> None:
+            line = b" " + b" ".join(p for _, p in group) + b" "
+            begin, end, found = self._hashes(line)
+            sizes = np.fromiter((len(p) + 1 for _, p in group), np.int64, len(group))
+            part = np.searchsorted(np.cumsum(sizes), begin - 1, side="right")
+            of = np.fromiter((k for k, _ in group), np.int64, len(group))[part]
+            short = end - begin <= LONGEST
+            whole.update(of[~short].tolist())
+            owner.append(of[short])
+            for own, h in zip(hashes, found):
+                own.append(h[short])
+            words.append((line, begin[short], end[short]))
+            group.clear()
+
+        size = 0
+        for k, part in lines:
+            if group and size + len(part) + 1 > STRETCH:
+                looked_at()
+                size = 0
+            group.append((k, part))
+            size += len(part) + 1
+        if group:
+            looked_at()
+        of, keys, checks = np.concatenate(owner), *(np.concatenate(h) for h in hashes)
+        unique, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
+        place = self._known(unique, checks[first])
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            if len(self.keys) + len(new) > KNOWN and len(self.keys):
+                self.forget()
+                yield from self.encode(texts)
+                return
+            starts = np.cumsum([0, *(len(b) for _, b, _ in words)])
+            stretch = np.searchsorted(starts, first[new], side="right") - 1
+            listed = []
+            for s, w in zip(stretch.tolist(), (first[new] - starts[stretch]).tolist()):
+                line, begin, end = words[s]
+                listed.append(line[begin[w] : end[w]].decode())
+            self._learn(listed, unique[new], checks[first[new]])
+            place = self._known(unique, checks[first])
+        same = checks == checks[first][inverse]
+        whole.update(of[~same].tolist())
+        whole.update(of[(place < 0)[inverse]].tolist())
+        place = np.maximum(place, 0)[inverse]
+        borders = np.searchsorted(of, np.arange(len(texts) + 1))
+        for k, text in enumerate(texts):
+            yield self._direct(text) if k in whole else self._joined(place[borders[k] : borders[k + 1]])
+
+    def _known(self, keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        """Places of words in the table, -1 for those that are not there."""
+        if not len(self.keys):
+            return np.full(len(keys), -1)
+        place = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where((self.keys[place] == keys) & (self.checks[place] == checks), place, -1)
 
     def _joined(self, places: np.ndarray) -> np.ndarray:
         """The ids of the words at ``places``, in their order."""
-        starts, sizes = self.ends[places], self.ends[places + 1] - self.ends[places]
+        sizes = self.sizes[places]
         ends = np.cumsum(sizes)
-        shift = np.repeat(starts - ends + sizes, sizes)
+        shift = np.repeat(self.at[places] - ends + sizes, sizes)
         return self.ids[shift + np.arange(len(shift))]
 
-    def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        """The ids of each whole text; a null text has none."""
-        if self.words > KNOWN:
-            self.forget()
-        if len(self.pieces) > KNOWN_PIECES:
-            self.pieces = {}
-        split = [t.lower().split() if t and not OTHER.search(t) else None for t in texts]
-        new = list({w for s in split if s for w in s}.difference(self.place))
-        for at in range(0, len(new), 50_000):
-            self._learn(new[at : at + 50_000])
-        for text, own in zip(texts, split):
-            if own is not None:
-                yield self._joined(np.fromiter(map(self.place.__getitem__, own), np.int64, len(own)))
-            elif text:
-                yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-            else:
-                yield np.empty(0, np.uint32)
+    def _direct(self, text: str | None) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids if text else [], np.uint32)
 
 
 _encoders: dict[str, Encoder] = {}
@@ -136,7 +206,13 @@ def pieces(docs: DataFrame, room: int = ROOM, tokenizer: str = TOKENIZER, with_i
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer_path(tokenizer)).encode
+        known = encoder(tokenizer_path(tokenizer))
+        try:
+            yield from cut(known.encode, batches)
+        finally:  # words stay known to the next task, the rest goes
+            freed()
+
+    def cut(encode, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[], [], [], [], [], []]
             for doc, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist())):

@@ -234,7 +234,7 @@ def report(docs: DataFrame, parts: int = 7, held: int = 2) -> DataFrame:
     """
     spark = docs.sparkSession
     rows = docs.select("doc_id", "text", is_fold("doc_id", parts, held).alias("held_out"))
-    encoded = written(_encoded(rows), "ppm-encoded")
+    encoded = written(_encoded(rows), "ppm-encoded", "zstd")  # texts, words and runs: the larger part of what is on disk
     words, texts = encoded.where("word IS NOT NULL").select("chunk", "word", "n"), encoded.where("word IS NULL AND run IS NULL")
     four = encoded.where("run IS NOT NULL").select("chunk", "run", "n")
     found = written(four.where("n > 0").groupBy("run").agg(F.sum("n").alias("n")), "ppm-runs")

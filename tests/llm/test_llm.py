@@ -149,6 +149,24 @@ def test_words_have_the_ids_of_whole_texts():
         assert ids.tolist() == (encode.tokenizer.encode(text, add_special_tokens=False).ids if text else [])
 
 
+@pytest.mark.parametrize("known, longest, stretch", [(1_400_000, 255, 1 << 19), (40, 12, 64), (3, 5, 300), (500, 255, 40)])
+def test_ids_do_not_depend_on_what_is_remembered(monkeypatch, known, longest, stretch):
+    for name, value in (("KNOWN", known), ("LONGEST", longest), ("STRETCH", stretch)):
+        monkeypatch.setattr(packing, name, value)
+    encode = packing.Encoder(packing.tokenizer_path(packing.TOKENIZER))
+    r = np.random.default_rng(8)
+    parts = ["the", "Café", "don't", "x1", "..", "ñandú", "a" * 20, "\xa0", "\n", " ", "\t\t", "l'été", "2024", "é", "日本", "ing"]
+    for _ in range(12):
+        texts = ["".join(r.choice(parts) + (" " if r.random() < 0.6 else "") for _ in range(int(r.integers(0, 120)))) for _ in range(20)]
+        for text, ids in zip(texts, encode.encode(texts), strict=True):
+            assert ids.tolist() == encode.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_sequences_are_as_few_as_can_be(spark, sf):
+    rows = packing.report(table(spark, sf, "documents")).collect()
+    assert len({r.sequence_id for r in rows}) <= -(-sum(r.length for r in rows) // 2048) + 1
+
+
 def test_plan_packs_as_well_as_bins_allow():
     for counts in ({2048: 3, 1500: 4, 548: 9, 700: 5, 1: 10}, {683: 7}, {682: 7}, {5: 1}, {}):
         patterns = packing.plan(counts)
