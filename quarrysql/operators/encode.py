@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,8 +14,8 @@ from quarrysql.functions.text import unicode_pattern
 from quarrysql.session import cut_lineage, written
 
 PAD_ID = 0
-HEAD_SIZE = 50_000
-LONGEST_HEAD_TOKEN = 128
+#: A chunk of texts ends with so many characters; all its texts share one list of tokens.
+CHUNK = 8_000_000
 _SPACES = unicode_pattern(r"\s+")
 
 
@@ -24,7 +29,7 @@ def build_vocabulary(df: DataFrame, text: str = "text") -> DataFrame:
 
     Counting combines before the exchange. The sort is a range exchange, written out once; ids are the
     position in a partition plus the rows of the partitions before, one row per partition. The numbered
-    table is written, so that readers fetch the head or the tail alone.
+    table is written, as it is read more than once.
     """
     counted = df.select(F.explode(tokens(F.col(text))).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
     ordered = cut_lineage(counted.orderBy(F.desc("n"), "token"))
@@ -38,51 +43,70 @@ def build_vocabulary(df: DataFrame, text: str = "text") -> DataFrame:
     return written(numbered.select("token", "n", (F.col("_start") + F.col("_i") + 1).alias("token_id")), "vocabulary")
 
 
+def _chunked(df: DataFrame, id_col: str, text: str) -> DataFrame:
+    """Texts in chunks, each followed by the different tokens of the chunk: (chunk, id, text) or (chunk, token)."""
+    kind = df.schema[id_col].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, size, seen = TaskContext.get().partitionId() << 32, 0, set()
+        id_type = pa.null()
+
+        def listed() -> pa.RecordBatch:
+            own = pa.array(list(seen), pa.string())
+            numbers = pa.array(np.full(len(own), chunk, np.int64))
+            return pa.RecordBatch.from_arrays([numbers, pa.nulls(len(own), id_type), pa.nulls(len(own), pa.string()), own], names=["chunk", "id", "text", "token"])
+
+        for batch in batches:
+            ids, texts = batch.column(0), batch.column(1)
+            id_type, at = ids.type, 0
+            for k, t in enumerate(texts.to_pylist()):
+                seen.update((t or "").split())
+                size += len(t or "")
+                if size >= CHUNK or k == len(texts) - 1:
+                    n = k + 1 - at
+                    numbers = pa.array(np.full(n, chunk, np.int64))
+                    yield pa.RecordBatch.from_arrays([numbers, ids.slice(at, n), texts.slice(at, n), pa.nulls(n, pa.string())], names=["chunk", "id", "text", "token"])
+                    at = k + 1
+                if size >= CHUNK:
+                    yield listed()
+                    chunk, size = chunk + 1, 0
+                    seen.clear()
+        if seen:
+            yield listed()
+
+    return df.select(F.col(id_col).alias("id"), F.col(text).alias("text")).mapInArrow(run, f"chunk bigint, id {kind}, text string, token string")
+
+
 def encode_fixed(df: DataFrame, vocabulary: DataFrame, id_col: str, text: str = "text", max_len: int = 1536) -> DataFrame:
-    """``input_ids``, ``attention_mask`` and ``labels`` of exactly ``max_len`` entries.
+    """Whole texts in windows of exactly ``max_len`` entries: ``window`` from 0, ``input_ids``, ``attention_mask`` and ``labels``.
 
-    The cut token lists are dealt out by id once, so the common tokens, found in a broadcast head of the
-    vocabulary, are put together again without another exchange. Ids grow as frequency falls: the head
-    holds the hot tokens, at most ``HEAD_SIZE`` rows of at most ``LONGEST_HEAD_TOKEN`` characters. Only
-    rare tokens go through an exchange join, where no key is hot.
+    The last window of a text is padded; a text without tokens has one window of padding. Every token appears once; those
+    that the vocabulary does not know are left out. The vocabulary is joined to the different tokens of chunks of texts, not to
+    their occurrences, so a frequent token is one row a chunk, and the texts are exchanged once, by chunk.
     """
-    in_head = (F.col("token_id") <= HEAD_SIZE) & (F.length("token") <= LONGEST_HEAD_TOKEN)
-    head = vocabulary.where(in_head).select("token", F.col("token_id").alias("head_id"))
-    tail = vocabulary.where(~in_head).select("token", "token_id")
-    words = df.select(id_col, F.slice(tokens(F.col(text)), 1, max_len).alias("w")).repartition(id_col)
-    places = words.select(id_col, F.posexplode("w").alias("pos", "token"))
-    looked_up = places.join(F.broadcast(head), "token", "left")
-
-    def grouped(found: DataFrame, name: str) -> DataFrame:
-        # At most max_len entries per text.
-        return found.groupBy(id_col).agg(F.collect_list(F.struct("pos", "token_id")).alias(name))
-
-    common = looked_up.where(F.col("head_id").isNotNull()).select(id_col, "pos", F.col("head_id").alias("token_id"))
-    rare = looked_up.where(F.col("head_id").isNull()).join(tail, "token").select(id_col, "pos", "token_id")
-    both = grouped(common, "common").join(grouped(rare, "rare"), id_col, "full")
-    none = F.array().cast("array<struct<pos:int,token_id:bigint>>")
-    entries = F.sort_array(F.concat(F.coalesce("common", none), F.coalesce("rare", none)))
-    rows = both.select(id_col, entries["token_id"].alias("ids"))
-    full = df.select(id_col).join(rows, id_col, "left").withColumn(
-        "ids", F.coalesce("ids", F.array().cast("array<bigint>"))
-    )
+    kind = df.schema[id_col].dataType.simpleString()
+    chunks = written(_chunked(df, id_col, text), "chunks")
+    known = chunks.where("token IS NOT NULL").select(F.col("chunk").alias("own"), "token").join(vocabulary.select("token", "token_id"), "token")
+    texts = chunks.where("token IS NULL").select("chunk", "id", "text")
+
+    def run(texts: pa.Table, known: pa.Table) -> pa.Table:
+        place = dict(zip(known["token"].to_pylist(), known["token_id"].to_pylist(), strict=True))
+        rows, windows, ids = [], [], []
+        for k, t in enumerate(texts["text"].to_pylist()):
+            own = np.fromiter((place.get(w, -1) for w in (t or "").split()), np.int64)
+            own = own[own >= 0]
+            for window, at in enumerate(range(0, max(1, len(own)), max_len)):
+                rows.append(k)
+                windows.append(window)
+                ids.append(own[at : at + max_len])
+        lengths = np.fromiter(map(len, ids), np.int32, len(ids))
+        ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+        flat = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*ids, np.empty(0, np.int64)])))
+        return pa.table([texts["id"].take(pa.array(rows, pa.int64())), pa.array(windows, pa.int32()), flat], names=["id", "window", "ids"])
+
+    cut = texts.groupBy("chunk").cogroup(known.groupBy("own")).applyInArrow(run, f"id {kind}, window int, ids array<bigint>")
     gap = F.lit(max_len) - F.size("ids")
     padded = F.concat("ids", F.array_repeat(F.lit(PAD_ID).cast("bigint"), gap))
     mask = F.concat(F.array_repeat(F.lit(1), F.size("ids")), F.array_repeat(F.lit(0), gap))
-    return full.select(id_col, padded.alias("input_ids"), mask.alias("attention_mask")).withColumn(
-        "labels", F.col("input_ids")
-    )
-
-
-def encode_further(df: DataFrame, vocabulary: DataFrame, id_col: str, text: str = "text", max_len: int = 1536) -> DataFrame:
-    """What ``encode_fixed`` leaves of texts of more than ``max_len`` tokens, in further windows of ``max_len`` entries.
-
-    ``window`` counts from 1; the last window of a text is padded. With the rows of ``encode_fixed`` each token appears once.
-    """
-    long = df.select(F.col(id_col), tokens(F.col(text)).alias("_w")).where(F.size("_w") > max_len)
-    numbers = F.sequence(F.lit(1), F.floor((F.size("_w") - 1) / max_len).cast("int"))
-    cut = long.select(id_col, "_w", F.explode(numbers).alias("window")).select(
-        F.struct(id_col, "window").alias("_key"), F.array_join(F.slice("_w", F.col("window") * max_len + 1, max_len), " ").alias("_text")
-    )
-    encoded = encode_fixed(cut, vocabulary, "_key", "_text", max_len)
-    return encoded.select(f"_key.{id_col}", "_key.window", "input_ids", "attention_mask", "labels")
+    full = cut.select(F.col("id").alias(id_col), "window", padded.alias("input_ids"), mask.alias("attention_mask"))
+    return full.withColumn("labels", F.col("input_ids"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quarrysql.functions.statements import category, spaced_patterns, sql_features, sql_type_coarse
 from quarrysql.functions.text import as_col, lower_strip
+from quarrysql.operators.skew import join_null_safe
 
 # Names looked for when guessing what a column holds.
 SQL_EXACT = ("sql", "response", "sql_query")
@@ -181,7 +182,10 @@ def compare_corpora(corpora: dict[str, DataFrame], sql: str = "sql") -> DataFram
 
 
 def run_report(staged: DataFrame, group: str = "source", reason: str = "reject_reason") -> DataFrame:
-    """Rows in, refused, kept, and the success rate, per source; open-ended sources are fine."""
+    """Rows in, refused, kept by the gate, and their share, per source; open-ended sources are fine.
+
+    What becomes of kept rows later on is in :func:`ledger`.
+    """
     refused = F.sum(F.col(reason).isNotNull().cast("bigint"))
     return (
         staged.groupBy(group)
@@ -191,19 +195,58 @@ def run_report(staged: DataFrame, group: str = "source", reason: str = "reject_r
     )
 
 
+def ledger(
+    staged: DataFrame, unique: DataFrame, final: DataFrame, low: int, high: int, before: list[DataFrame] | None = None
+) -> DataFrame:
+    """What became of every row, per source: ``source``, ``outcome``, ``n`` and the percent of the source's rows.
+
+    Outcomes are ``refused: <reason>``, ``length``, ``duplicate``, ``no_sql`` and ``rebalanced``, and ``final`` for the rows that are left; their sum
+    is the number of rows read. ``staged`` has ``source``, ``reject_reason`` and ``text``; ``unique`` are the rows after
+    duplicates went, ``final`` those of the corpus, both with ``source`` and ``sql``. ``before`` holds tables (source, outcome, n) of rows that left
+    before staging. Each table is counted once; only counts are joined.
+    """
+    fits = F.length("text").between(low, high)
+    why = F.when(F.col("reject_reason").isNotNull(), F.concat(F.lit("refused: "), F.col("reject_reason"))).when(~F.coalesce(fits, F.lit(False)), "length")
+    n = F.count(F.lit(1))
+    first = staged.groupBy("source", F.coalesce(why, F.lit("")).alias("outcome")).agg(n.alias("n"))
+    empty = F.sum((F.coalesce("sql", F.lit("")) == "").cast("bigint"))
+    steps = [
+        first.where("outcome = ''").select("source", F.struct("n").alias("passed")),
+        unique.groupBy("source").agg(F.struct(n.alias("n"), empty.alias("no_sql")).alias("unique")),
+        final.groupBy("source").agg(F.struct(n.alias("n"), empty.alias("no_sql")).alias("final")),
+    ]
+    counted = steps[0]
+    for more in steps[1:]:
+        counted = join_null_safe(counted, more, ["source"], "left")
+    of = lambda step, name="n": F.coalesce(F.col(step)[name], F.lit(0))
+    no_sql = of("unique", "no_sql") - of("final", "no_sql")
+    later = {
+        "duplicate": of("passed") - of("unique"),
+        "no_sql": no_sql,
+        "rebalanced": of("unique") - of("final") - no_sql,
+        "final": of("final"),
+    }
+    rest = counted.select("source", F.inline(F.array(*[F.struct(F.lit(k).alias("outcome"), c.alias("n")) for k, c in later.items()])))
+    rows = reduce(DataFrame.unionByName, [first.where("outcome <> ''"), rest.where("n > 0"), *(before or [])])
+    # A few outcomes per source.
+    return rows.withColumn("pct", _percent(F.col("n"), F.sum("n").over(Window.partitionBy("source"))))
+
+
 def reject_report(staged: DataFrame, group: str = "source", reason: str = "reject_reason") -> DataFrame:
     """Refused rows per source and reason."""
     return staged.where(as_col(reason).isNotNull()).groupBy(group, reason).agg(F.count("*").alias("n"))
 
 
 def file_report(files: DataFrame, found: DataFrame, accepted: DataFrame, path: str = "path") -> DataFrame:
-    """A78, code files: files looked at, files with SQL, accepted statements, share of files with SQL."""
-    checked = files.select(F.count("*")).scalar()
-    valid = accepted.select(F.count("*")).scalar()
-    hits = found.select(path).distinct().agg(F.count("*").alias("files_with_sql"))
-    return hits.select(
-        checked.alias("files_checked"),
-        "files_with_sql",
-        valid.alias("valid_statements"),
-        _percent(F.col("files_with_sql"), checked).alias("success_pct"),
-    )
+    """A78, code files: files looked at, files with SQL, accepted statements, share of files with SQL.
+
+    ``found`` is read here and for ``accepted``: hand over a written table, so that files are searched once.
+    """
+    counts = {
+        "files_checked": files.agg(F.count("*").alias("n")),
+        "files_with_sql": found.select(path).distinct().agg(F.count("*").alias("n")),
+        "valid_statements": accepted.agg(F.count("*").alias("n")),
+    }
+    tagged = [df.select(F.lit(name).alias("what"), "n") for name, df in counts.items()]
+    one = reduce(DataFrame.unionByName, tagged).agg(*[F.sum(F.when(F.col("what") == name, F.col("n"))).alias(name) for name in counts])
+    return one.select(*counts, _percent(F.col("files_with_sql"), F.col("files_checked")).alias("success_pct"))

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarrysql.functions.text import hash_bucket, hash_hex
 
@@ -52,18 +53,25 @@ def _cut(ids: DataFrame, quota: Quota, low: Column, high: Column) -> Column:
     return either.agg(F.max_by("cut", "rank").alias("cut")).scalar()
 
 
+def _id(df: DataFrame, id_col: str) -> Column:
+    """An id as a number; other ids, a struct of path and place say, as the number of their hash."""
+    numeric = isinstance(df.schema[id_col].dataType, T.NumericType)
+    return F.col(id_col).cast("bigint") if numeric else F.xxhash64(id_col)
+
+
 def within_sample(
     df: DataFrame, quota: Quota, id_col: str = "row_id", salt: str = "sample", wanted: Column | None = None
 ) -> Column:
     """A column that is true for the rows of ``df`` with the smallest id hash, up to the quota."""
+    number = _id(df, id_col)
     bucket = F.conv(F.substring(F.col("h"), 1, 4), 16, 10).cast("int")
     ids = df.select(
         hash_hex(id_col, salt).alias("h"),
-        F.col(id_col).cast("bigint").alias("id"),
+        number.alias("id"),
         (F.lit(True) if wanted is None else wanted).alias("wanted"),
     ).withColumn("b", bucket)
     cut = _cut(ids, quota, low=F.lit(""), high=F.lit("g"))  # around all hexadecimal digits
-    return F.struct(hash_hex(id_col, salt).alias("h"), F.col(id_col).cast("bigint").alias("id")) <= cut
+    return F.struct(hash_hex(id_col, salt).alias("h"), number.alias("id")) <= cut
 
 
 def cap_source(df: DataFrame, n: int, id_col: str = "row_id", salt: str = "cap") -> DataFrame:

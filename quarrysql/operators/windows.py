@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarrysql.operators.skew import join_group_rows, join_null_safe
+from quarrysql.operators.skew import join_null_safe, look_up
 
 
 def _cumulated(
@@ -54,7 +54,7 @@ def ranked(
         *keys, order, "_n", (F.col("_rows") + 1).cast("bigint").alias("rank"),
         (F.col("_values") + 1).cast("bigint").alias("dense_rank"),
     )
-    out = join_group_rows(df, ranks, [*keys, order], "_n")
+    out = look_up(df, ranks, [*keys, order], "_n")
     if tie_break is None:
         return out
     among_ties = F.row_number().over(Window.partitionBy(*keys, order).orderBy(tie_break))
@@ -71,4 +71,4 @@ def running_total(
     values = df.groupBy(*keys, order).agg(F.sum(amount).alias("_sum"), F.count("*").alias("_n"))
     before = _cumulated(values, keys, order, slice_by, {"_before": F.coalesce("_sum", F.lit(0))}, descending=False)
     totals = before.select(*keys, order, "_n", (F.col("_before") + F.coalesce("_sum", F.lit(0))).alias(name))
-    return join_group_rows(df, totals, [*keys, order], "_n")
+    return look_up(df, totals, [*keys, order], "_n")

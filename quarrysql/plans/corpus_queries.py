@@ -209,7 +209,7 @@ def a25_encode_fixed(spark: SparkSession, sf: str) -> DataFrame:
     encoded = encode.encode_fixed(documents, encode.build_vocabulary(documents), "doc_id")
     total = F.size(F.array_remove("attention_mask", 0)).cast("bigint")
     return encoded.select(
-        "doc_id", F.array_join("input_ids", " ").alias("input_ids"), total.alias("mask_sum"),
+        "doc_id", F.col("window").cast("bigint").alias("window"), F.array_join("input_ids", " ").alias("input_ids"), total.alias("mask_sum"),
         F.size("labels").cast("bigint").alias("label_count"),
     )
 
@@ -229,6 +229,12 @@ def a29_statement_gate(spark: SparkSession, sf: str) -> DataFrame:
     return generic.select("row_id", "sql", "reject_reason", "generic_reason")
 
 
+@query
+def a29_gate_cases(spark: SparkSession, sf: str) -> DataFrame:
+    """Statements on which a gate may err; the check holds the verdicts of a reader, not a gate of its own."""
+    return statements.gate(derived(spark, sf, "gate_cases")).select("row_id", "reject_reason")
+
+
 @query
 def a30_length_filter(spark: SparkSession, sf: str) -> DataFrame:
     kept = curation.length_filter(table(spark, sf, "documents"))
@@ -422,10 +428,18 @@ def a78_reject_report(spark: SparkSession, sf: str) -> DataFrame:
     return profile.reject_report(curation.stage(_raw(spark, sf)))
 
 
+@query
+def a78_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    """What became of every row on its way to the curated corpus; the sum over a source is its rows."""
+    staged = written(curation.stage(_raw(spark, sf)).select("row_id", "source", "source_rank", "question", "sql", "sql_type", "reject_reason", "text"), "staged")
+    unique = written(curation.accepted(staged).select("row_id", "source", "sql", "sql_type"), "unique")
+    return profile.ledger(staged, unique, sampling.rebalance(unique), 10, 2048)
+
+
 @query
 def a78_file_report(spark: SparkSession, sf: str) -> DataFrame:
     files = extract.named_like_sql(_files(spark, sf))
-    found = extract.extract_statements(extract.with_content(files))
+    found = written(extract.extract_statements(extract.with_content(files)), "found")
     return profile.file_report(files, found, curation.accepted_statements(found))
 
 
@@ -577,8 +591,7 @@ def e2_code_transcripts(spark: SparkSession, sf: str) -> DataFrame:
 def e2_merged_corpus(spark: SparkSession, sf: str) -> DataFrame:
     """Code-file transcripts appended to the legacy chat rows by the two-key rule."""
     transcripts = written(curation.code_transcripts(_files(spark, sf)), "transcripts")
-    file_no = F.regexp_extract("path", r"(\d+)\.\w+$", 1).cast("bigint")
-    numbered = transcripts.select((file_no * 1000 + F.col("stmt_no")).alias("row_id"), "text")
+    numbered = transcripts.select(F.struct("path", "stmt_no").alias("row_id"), "text")
     return curation.merge_code(_chat(spark, sf), numbered, "row_id", cap=None)
 
 

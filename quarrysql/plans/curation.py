@@ -102,12 +102,12 @@ def code_transcripts(files: DataFrame, dialect: str = "sql") -> DataFrame:
 def merge_code(current: DataFrame, transcripts: DataFrame, order: str, cap: int | None = None) -> DataFrame:
     """New transcripts that repeat neither a kept statement nor a known question, appended.
 
-    ``order`` is a unique numeric id of the transcripts; ``cap``, where given, limits the transcripts.
+    ``order`` is a unique sortable id of the transcripts, a number or a struct; ``cap``, where given, limits the transcripts.
     The candidates are written once: the rounds read their keys, the result their text.
     """
     limited = transcripts if cap is None else sampling.cap_source(transcripts, cap, order)
     candidates = written(dedup.merge_candidates(limited), "candidates")
-    known = current.select(chat.legacy_question_key("text").alias("question")).where("question <> ''")
+    known = current.select(dedup.whole_question_key("text", chat.assistant_sql_strict("text")).alias("question")).where("question <> ''")
     kept = dedup.dedup_greedy(candidates, "sql_key", "question_key", order, existing=known)
     return dedup.append_source(current, kept)
 

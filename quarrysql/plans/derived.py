@@ -133,7 +133,62 @@ SELECT o_orderkey AS file_id,
 FROM orders
 """
 
+# Statements on which a gate may err, with the verdict that a reader gives; <K> stands for the key of the order.
+GATE_CASES: list[tuple[str, str | None]] = [
+    ("SELECT id FROM t WHERE note = '--' AND id = <K>", None),
+    ("SELECT 'http://x--y', <K>", None),
+    (r"SELECT E'it\'s', <K>", None),
+    ("WITH a AS MATERIALIZED (SELECT <K>) SELECT * FROM a", None),
+    ("WITH a AS NOT MATERIALIZED (VALUES (<K>)) TABLE a", None),
+    ('WITH "a b" AS (SELECT <K> AS x) SELECT x FROM "a b"', None),
+    ("WITH RECURSIVE a (x, y) AS (SELECT 1, <K>) SELECT x FROM a", None),
+    ("MERGE INTO t USING s ON t.id = s.id WHEN MATCHED THEN UPDATE SET v = <K>", None),
+    ("MERGE (n:A {id: <K>}) RETURN n", "non_sql"),
+    ("DESCRIBE t_<K>", None),
+    ("DESCRIBE <http://x/<K>>", "non_sql"),
+    ("INSERT INTO t VALUES (:a, :b, <K>)", None),
+    ("EXPLAIN SELECT <K>", None),
+    ("VALUES (1), (<K>)", None),
+    ("SELECT $$a;b$$, <K>", None),
+    ("SELECT $q$it's (open;$q$, <K>", None),
+    ('SELECT "it\'s", <K>', None),
+    ("/* it's (a; */ SELECT <K>", None),
+    ("SELECT <K> -- don't ( stop;", None),
+    ("SELECT <K>; -- done", None),
+    ("SELECT <K> /* open", "open_comment"),
+    ("SELECT '<K>", "open_quote"),
+    ("SELECT 'a' || '<K>''", "open_quote"),
+    ("SELECT <K>; SELECT 2", "many_statements"),
+    ("SELECT (<K> || ')'", "open_parenthesis"),
+    ("(SELECT <K>) UNION (SELECT 2)", None),
+    ("SELECT x::int FROM t WHERE k = '(n:A)' AND id = <K>", None),
+    ("CALL refresh_order(<K>)", None),
+    ("CALL db.labels() YIELD label RETURN label, <K>", "non_sql"),
+    ("MATCH (n:A {id: <K>}) RETURN n", "non_sql"),
+    ("MATCH (a)-[:KNOWS]->(b) WHERE a.id = <K> RETURN b", "non_sql"),
+    ("WITH n MATCH (n)-[:R]->(m) RETURN m, <K>", "non_sql"),
+    ("UNWIND [1, <K>] AS x RETURN x", "non_sql"),
+    ("PREFIX a: <http://x> SELECT ?x ?y WHERE { ?x a:p <K> }", "non_sql"),
+    ("SELECT price - (:cut) FROM t WHERE id = <K>", None),
+    ("Let me look at order <K>", "unknown_verb"),
+    ("  ;", "too_short"),
+    (" ", "empty"),
+]
+
+
+def _quoted(text: str) -> str:
+    """A literal of both engines: a backslash stands as chr(92), since only one of them takes it for an escape."""
+    return " || chr(92) || ".join("'" + part.replace("'", "''") + "'" for part in text.split("\\"))
+
+
+_CASE_TEXTS = {k: f" || {_K} || ".join(map(_quoted, text.split("<K>"))) for k, (text, _) in enumerate(GATE_CASES)}
+GATE_CASE_ROWS = f"""
+SELECT o_orderkey AS row_id, {_case(f"o_orderkey % {len(GATE_CASES)}", _CASE_TEXTS, "''")} AS sql
+FROM orders
+"""
+
 _PARENTS = {
+    "gate_cases": (GATE_CASE_ROWS, ()),
     "corpus_raw": (CORPUS_RAW, ()),
     "chat": (CHAT, ("corpus_raw",)),
     "outputs": (OUTPUTS, ("corpus_raw",)),
@@ -169,8 +224,10 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derived corpus as a lazy DataFrame over the tables in ``sf_dir``."""
     # The table name stands on a line of its own; in braces it stands for the DataFrame.
-    text = f"{ctes(name)} SELECT * FROM {name}".replace("\nFROM orders\n", "\nFROM {orders}\n")
+    text = f"{ctes(name)} SELECT * FROM {name}"
+    # Braces in the text of a statement are no parameters.
+    text = text.replace("{", "{{").replace("}", "}}").replace("\nFROM orders\n", "\nFROM {orders}\n")
     df = spark.sql(text, orders=spread(table(spark, sf_dir, "orders"), "o_orderkey"))
     # The made-up column behaves like a stored one: filters on it do not copy its long expression.
-    made = {"corpus_raw": "sql", "chat": "text", "outputs": "raw_output", "code_files": "content"}[name]
+    made = {"corpus_raw": "sql", "chat": "text", "outputs": "raw_output", "code_files": "content", "gate_cases": "sql"}[name]
     return compute_once(df, **{made: F.col(made)}).select(*df.columns)

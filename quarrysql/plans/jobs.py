@@ -41,29 +41,37 @@ class Options:
     sequence_length: int = 1536
 
 
-def ingest(spark: SparkSession, sources: list[Source]) -> tuple[DataFrame, DataFrame]:
-    """All sources as common rows with fixed ids, and the broken lines.
-
-    Ids follow the order of the sources and of the read. They are written once, because reading again
-    may cut the files differently.
-    """
-    good, bad = [], []
+def _ingested(spark: SparkSession, sources: list[Source]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """All rows, those within the caps, and the broken lines. Every line is parsed once and written once."""
+    parts = []
     for rank, source in enumerate(sources):
-        rows, broken = corpus.read_jsonl(spark, source.path, corpus.LAYOUTS[source.layout])
+        rows = corpus.parse_jsonl(spark, source.path, corpus.LAYOUTS[source.layout])
         tagged = rows.withColumns({"_name": F.lit(source.name), "_rank": F.lit(rank)})
-        common = corpus.to_common(tagged, keep=("_name", "_rank", "text"))
+        common = corpus.to_common(tagged, keep=("_name", "_rank", "text", corpus.LINE, corpus.PATH))
         if "text" not in common.columns:
             common = common.withColumn("text", F.lit(None).cast("string"))
-        good.append(common)
-        bad.append(broken.withColumn("source", F.lit(source.name)))
-    merged = corpus.merge_sources(good).withColumnsRenamed({"_name": "source", "_rank": "source_rank"})
+        parts.append(common)
+    merged = corpus.merge_sources(parts).withColumnsRenamed({"_name": "source", "_rank": "source_rank"})
     fixed = written(merged.withColumn("row_id", F.monotonically_increasing_id()), "ingested")
-    parts = [
+    broken = fixed.where(F.col(corpus.LINE).isNotNull()).select(
+        F.col(corpus.LINE).alias("line"), F.col(corpus.PATH).alias("file_path"), "source"
+    )
+    good = fixed.where(F.col(corpus.LINE).isNull()).drop(corpus.LINE, corpus.PATH)
+    capped = [
         part if source.cap is None else sampling.cap_source(part, source.cap)
         for rank, source in enumerate(sources)
-        for part in [fixed.where(F.col("source_rank") == rank)]
+        for part in [good.where(F.col("source_rank") == rank)]
     ]
-    return corpus.merge_sources(parts), corpus.merge_sources(bad)
+    return good, corpus.merge_sources(capped), broken
+
+
+def ingest(spark: SparkSession, sources: list[Source]) -> tuple[DataFrame, DataFrame]:
+    """All sources as common rows with fixed ids, and the broken lines.
+
+    Ids follow the order of the sources and of the read. They are written once, because reading again
+    may cut the files differently.
+    """
+    return _ingested(spark, sources)[1:]
 
 
 def stage_rows(common: DataFrame, options: Options) -> DataFrame:
@@ -92,16 +100,29 @@ def stage_rows(common: DataFrame, options: Options) -> DataFrame:
     return both.withColumn("sql_type", statements.sql_type(statements.strip_reasoning("sql")))
 
 
+def _ledger(sources, read, common, broken, staged, unique, final, options: Options) -> DataFrame:
+    """The outcome of every line of every source, broken lines and those beyond a cap included."""
+
+    def counted(df: DataFrame, outcome: str) -> DataFrame:
+        return df.groupBy("source").agg(F.count("*").alias("n")).select("source", F.lit(outcome).alias("outcome"), "n")
+
+    before = [counted(broken, "broken")]
+    if any(s.cap is not None for s in sources):
+        rows = counted(read, "capped").unionByName(counted(common, "capped").withColumn("n", -F.col("n")))
+        before.append(rows.groupBy("source", "outcome").agg(F.sum("n").alias("n")).where("n > 0"))
+    return profile.ledger(staged, unique, final, options.min_length, options.max_length, before)
+
+
 def build_corpus(spark: SparkSession, sources: list[Source], out: str, options: Options | None = None) -> DataFrame:
     """Reads, stages, gates, deduplicates, balances and writes a corpus; returns its metadata row.
 
-    ``out`` gets ``train`` (text lines) or ``train_tokenized`` and ``train_tokenized_further`` (columnar, split;
-    further windows of texts longer than one), ``metadata``,
-    ``rejects`` and ``quarantine``.
+    ``out`` gets ``train`` (text lines) or ``train_tokenized`` (columnar, split, whole texts in numbered windows), ``metadata``,
+    ``rejects``, ``quarantine``, and ``ledger``, which says for each source what became of all its lines.
     """
     options = options or Options()
-    common, broken = ingest(spark, sources)
-    staged = stage_rows(common, options)
+    read, common, broken = _ingested(spark, sources)
+    # Read by the reports and by what follows, so it is staged once.
+    staged = written(stage_rows(common, options), "staged")
     profile.reject_report(staged).write.mode("errorifexists").json(f"{out}/rejects")
     broken.write.mode("errorifexists").json(f"{out}/quarantine")
     passed = curation.passed(staged, options.min_length, options.max_length)
@@ -110,17 +131,16 @@ def build_corpus(spark: SparkSession, sources: list[Source], out: str, options:
     unique = dedup.dedup_first(passed, key) if options.deduplicate else passed
     unique = written(unique.select("row_id", "source", "sql", "sql_type", "text"), "unique")
     final = sampling.rebalance(unique, options.select_ratio) if options.rebalance else unique
+    final = written(final, "final")
+    _ledger(sources, read, common, broken, staged, unique, final, options).write.mode("errorifexists").json(f"{out}/ledger")
     params = {k: str(v) for k, v in asdict(options).items()}
     if options.encode:
-        # Ids and split hang on the row id alone, so both reads of the balanced rows agree.
+        split = sampling.train_val_split(final, exact=True)
         vocabulary = encode.build_vocabulary(final)
         encoded = encode.encode_fixed(final, vocabulary, "row_id", max_len=options.sequence_length)
-        corpus.write_columnar(sampling.train_val_split(encoded, exact=True).drop("row_id"), f"{out}/train_tokenized")
-        further = encode.encode_further(final, vocabulary, "row_id", max_len=options.sequence_length)
-        splits = sampling.train_val_split(final, exact=True).select("row_id", "split")
-        corpus.write_columnar(further.join(splits, "row_id"), f"{out}/train_tokenized_further")
+        corpus.write_columnar(encoded.join(split.select("row_id", "split"), "row_id"), f"{out}/train_tokenized")
         vocabulary.write.mode("errorifexists").parquet(f"{out}/vocabulary")
-        metadata = corpus.corpus_metadata(sampling.train_val_split(final, exact=True), params)
+        metadata = corpus.corpus_metadata(split, params)
     else:
         corpus.write_text_jsonl(sampling.shuffle(final) if options.rebalance else final, f"{out}/train")
         metadata = corpus.corpus_metadata(final, params, split=None)

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarrysql.operators.skew import join_group_rows
+from quarrysql.operators.skew import with_group_values
 from quarrysql.operators.windows import ranked, running_total
 
 Tables = Callable[[str], DataFrame]
@@ -307,11 +307,12 @@ def b32_scalar_subquery(t: Tables) -> DataFrame:
 
 
 def b33_correlated_subquery(t: Tables) -> DataFrame:
-    """The inner average per group, joined back so that a hot group is not exchanged."""
+    """The inner average per group; rows of hot groups are not exchanged."""
     o = t("orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    own = o.groupBy("o_custkey").agg(mean("o_totalprice").alias("own_average"), F.count("*").alias("n"))
-    above = join_group_rows(o, own, ["o_custkey"], "n").where(F.col("o_totalprice") > F.col("own_average"))
-    return above.drop("own_average")
+    amount = money("o_totalprice")
+    own = with_group_values(o, ["o_custkey"], _sum=F.sum(amount), _n=F.count(amount))
+    above = F.col("o_totalprice") > F.col("_sum").cast("double") / F.col("_n")
+    return own.where(above).drop("_sum", "_n")
 
 
 def b34_derived_table(t: Tables) -> DataFrame:
@@ -425,11 +426,11 @@ def b45_top_n_per_group(t: Tables) -> DataFrame:
 
 
 def b46_share_of_group(t: Tables) -> DataFrame:
-    """Group totals are combined before the exchange and joined back without moving a hot group."""
+    """Totals of hot groups are combined before the exchange, and their rows stay where they are."""
     o = t("orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    own = o.groupBy("o_custkey").agg(F.sum(money("o_totalprice")).alias("group_total"), F.count("*").alias("n"))
+    own = with_group_values(o, ["o_custkey"], group_total=F.sum(money("o_totalprice")))
     share = money("o_totalprice").cast("double") * 100 / F.col("group_total").cast("double")
-    return join_group_rows(o, own, ["o_custkey"], "n").select("o_orderkey", "o_custkey", share.alias("pct"))
+    return own.select("o_orderkey", "o_custkey", share.alias("pct"))
 
 
 # --- scalar functions ------------------------------------------------------------------------

@@ -52,8 +52,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """``df`` written once as a columnar table in the shared folder, for jobs that read it several times."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import json
+import re
+import uuid
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarrysql.functions.text import as_col, first_filled, strip
+from quarrysql.functions.text import as_col, compute_once, first_filled, strip
+from quarrysql.session import written
 
 
 def _strings(*names: str) -> T.StructType:
@@ -48,18 +53,32 @@ SQL_KEYS = ("answer", "sql", "response", "sql_query", "query")
 CORRUPT = "_corrupt_record"
 
 
-def read_jsonl(spark: SparkSession, path: str | list[str], schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """``(good, quarantine)``. Blank lines vanish; broken lines keep their text and file.
+LINE, PATH = "_line", "_path"
+
+
+def parse_jsonl(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+    """The rows of JSON lines, each parsed once; a broken line has its text in ``_line``, its file in ``_path``, and no values.
 
-    Lines are read as text and parsed in place, so both parts are lazy and nothing is cached.
+    Blank lines vanish. Nothing is written or cached.
     """
     with_bad = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file_path"))
-    parsed = lines.where(strip("value") != "").withColumn("row", F.from_json("value", with_bad, options))
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file_path")).where(strip("value") != "")
+    parsed = compute_once(lines, row=F.from_json("value", with_bad, options))
     broken = F.col(f"row.{CORRUPT}").isNotNull()
-    good = parsed.where(~broken).select(*[F.col(f"row.{n}").alias(n) for n in schema.fieldNames()])
-    return good, parsed.where(broken).select(F.col("value").alias("line"), "file_path")
+    values = [F.when(~broken, F.col(f"row.{n}")).alias(n) for n in schema.fieldNames()]
+    return parsed.select(*values, F.when(broken, F.col("value")).alias(LINE), F.when(broken, F.col("file_path")).alias(PATH))
+
+
+def split_parsed(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The good rows, and the broken ones as (line, file_path), of a table that holds both."""
+    good = parsed.where(F.col(LINE).isNull()).drop(LINE, PATH)
+    return good, parsed.where(F.col(LINE).isNotNull()).select(F.col(LINE).alias("line"), F.col(PATH).alias("file_path"))
+
+
+def read_jsonl(spark: SparkSession, path: str | list[str], schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """``(good, quarantine)``. Lines are parsed once, into a table in the shared folder that both parts read."""
+    return split_parsed(written(parse_jsonl(spark, path, schema), "parsed"))
 
 
 def to_common(df: DataFrame, keep: tuple[str, ...] = ("source", "source_rank", "row_id", "text")) -> DataFrame:
@@ -110,34 +129,63 @@ def corpus_metadata(df: DataFrame, params: dict[str, str], text: str = "text", s
     return df.agg(*counts).select(given.alias("preprocessing"), "*")
 
 
-def snapshot_write(df: DataFrame, base: str) -> int:
-    """A10: writes ``df`` as the next version below ``base`` and returns its number.
+class VersionTaken(RuntimeError):
+    """Another writer has committed the version."""
+
 
-    A version counts once its line in ``commits`` is written, after the data: a job that dies half-way
-    leaves the latest version as it was, and a job may read the version it replaces.
+def _commits(spark: SparkSession, base: str):
+    """The folder of commits: its file system and its path."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(f"{base}/commits")
+    return folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), folder, hadoop.Path
+
+
+def snapshot_write(df: DataFrame, base: str, after: int | None = None) -> int:
+    """A10: writes ``df`` below ``base`` as the version after ``after`` (the latest one, if not given), and returns its number.
+
+    The data goes to a folder of its own, which no other write shares. Then the commit of the version, one file that names
+    the folder, is made; the file system makes it only if it is not there, so of two writers of one version one
+    is refused, with ``VersionTaken``, and what the other has written stays as it is. A job that dies before its
+    commit leaves the latest version as it was, and a job may read the version it replaces.
     """
     spark = df.sparkSession
-    version = (latest_version(spark, base) or 0) + 1
-    # A folder left by a job that died before its commit is written over.
-    df.write.mode("overwrite").parquet(f"{base}/data/version={version}")
-    commit = spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("committed_at"))
-    commit.write.mode("append").parquet(f"{base}/commits")
+    version = ((latest_version(spark, base) or 0) if after is None else after) + 1
+    folder = f"data/{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(f"{base}/{folder}")
+    line = json.dumps({"version": version, "folder": folder})
+    fs, commits, path = _commits(spark, base)
+    fs.mkdirs(commits)
+    name = path(commits, f"{version:010d}.json")
+    try:
+        out = fs.create(name, False)
+    except Py4JJavaError as error:
+        if not fs.exists(name):
+            raise
+        raise VersionTaken(f"version {version} below {base} is committed already") from error
+    try:
+        out.write(bytearray(line.encode()))
+    finally:
+        out.close()
     return version
 
 
-def latest_version(spark: SparkSession, base: str) -> int | None:
-    from pyspark.errors import AnalysisException
+def _committed(spark: SparkSession, base: str) -> list[int]:
+    """Numbers of the commits below ``base``, one short name each."""
+    fs, commits, _ = _commits(spark, base)
+    if not fs.exists(commits):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(commits)]
+    return sorted(int(n.removesuffix(".json")) for n in names if re.fullmatch(r"\d+\.json", n))
 
-    try:
-        commits = spark.read.schema("version int, committed_at timestamp").parquet(f"{base}/commits")
-    except AnalysisException:
-        return None
-    return commits.agg(F.max("version")).first()[0]
+
+def latest_version(spark: SparkSession, base: str) -> int | None:
+    return max(_committed(spark, base), default=None)
 
 
 def snapshot_read(spark: SparkSession, base: str, version: int | None = None) -> DataFrame:
     """The given version, or the latest committed one."""
     number = version or latest_version(spark, base)
-    if number is None:
-        raise FileNotFoundError(f"no committed version below {base}")
-    return spark.read.parquet(f"{base}/data/version={number}")
+    if number is None or number not in _committed(spark, base):
+        raise FileNotFoundError(f"no committed version {number or ''} below {base}")
+    commit = spark.read.schema("version long, folder string").json(f"{base}/commits/{number:010d}.json").first()
+    return spark.read.parquet(f"{base}/{commit.folder}")

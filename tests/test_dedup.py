@@ -1,6 +1,7 @@
 """Duplicate removal against sequential models, and under different partitionings."""
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -101,3 +102,84 @@ def test_greedy_takes_null_for_a_key(spark):
     keys = spark.createDataFrame(rows, "ord long, k1 string, k2 string")
     assert sorted(r.ord for r in dedup.greedy_ids(keys).collect()) == [1, 3, 5]
     assert dedup.greedy_ids(keys.limit(0)).count() == 0
+
+
+
+
+def chain(n, name="", first=0):
+    return [(first + i, f"{name}a{(i + 1) // 2}", f"{name}b{i // 2}") for i in range(n)]
+
+
+def steps_of(monkeypatch):
+    """Counts the rounds of the two-key rule, and those of the search for components."""
+    from quarrysql.operators import components
+
+    seen, write, star = Counter(), dedup.written, components._small_star
+
+    def writing(df, label):
+        seen[label] += 1
+        return write(df, label)
+
+    def starred(df):
+        seen["star"] += 1
+        return star(df)
+
+    monkeypatch.setattr(dedup, "written", writing)
+    monkeypatch.setattr(components, "_small_star", starred)
+    return seen
+
+
+def test_a_long_chain_ends_in_few_rounds(spark, monkeypatch):
+    seen, rows = steps_of(monkeypatch), chain(10_000)
+    keys = spark.createDataFrame(rows, "ord long, k1 string, k2 string")
+    assert sorted(r.ord for r in dedup.greedy_ids(keys).collect()) == sequential(rows)
+    assert seen["kept"] == 4 and seen["settled"] == 1 and seen["star"] == 0
+
+
+def test_chains_are_settled_apart(spark, monkeypatch):
+    seen, rows = steps_of(monkeypatch), [r for k in range(3) for r in chain(1_000, f"{k}-", k * 5_000)]
+    keys = spark.createDataFrame(rows, "ord long, k1 string, k2 string")
+    assert sorted(r.ord for r in dedup.greedy_ids(keys, rounds=1, settled=1_200).collect()) == sequential(rows)
+    assert seen["kept"] == 1 and seen["settled"] == 1 and 0 < seen["star"] <= 16
+
+
+def test_components_larger_than_one_step_go_on_in_rounds(spark):
+    rng = random.Random(7)
+    rows = chain(12) + [(1_000 + i, f"s{rng.randrange(30)}", f"q{rng.randrange(30)}") for i in range(200)]
+    keys = spark.createDataFrame(rows, "ord long, k1 string, k2 string")
+    assert sorted(r.ord for r in dedup.greedy_ids(keys, rounds=1, settled=3).collect()) == sequential(rows)
+
+
+def test_half_the_rows_without_a_question(spark, monkeypatch):
+    """No exchange gathers the rows of a hot key: counted where rows meet what their keys tell them."""
+    from quarrysql.operators import skew
+
+    n = 20_000
+    keys = spark.range(n, numPartitions=8).select(
+        F.col("id").alias("ord"), F.concat(F.lit("s"), (F.col("id") % 9_973).cast("string")).alias("k1"),
+        F.when(F.col("id") % 2 == 0, "").otherwise(F.concat(F.lit("q"), (F.col("id") % 9_001).cast("string"))).alias("k2"),
+    )
+    most = []
+    join = skew.join_null_safe
+
+    def counted(left, right, on, how="inner"):
+        out = join(left, right, on, how)
+        if "_apart" in on:
+            sizes = sorted(r["count"] for r in left.repartition(8, *on).groupBy(F.spark_partition_id()).count().collect())
+            if sum(sizes) > 5_000:
+                most.append(sizes[-1] / sizes[len(sizes) // 2])
+        return out
+
+    monkeypatch.setattr(skew, "join_null_safe", counted)
+    found = sorted(r.ord for r in dedup.greedy_ids(keys).collect())
+    assert found == sequential([tuple(r) for r in keys.collect()])
+    assert most and max(most) < 3
+
+
+def test_components_of_paths_and_hubs(spark):
+    from quarrysql.operators.components import components
+
+    edges = [(i, i + 1) for i in range(100, 160)] + [(9_000, k) for k in range(9_001, 9_300)] + [(7, 7), (5, 6), (6, 5)]
+    found = dict(tuple(r) for r in components(spark.createDataFrame(edges, "a long, b long")).collect())
+    assert found == {**{k: 100 for k in range(101, 161)}, **{k: 9_000 for k in range(9_001, 9_300)}, 6: 5}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0

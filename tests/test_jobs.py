@@ -1,6 +1,7 @@
 """The corpus job from files to files."""
 
 import json
+from collections import Counter
 
 from quarrysql.plans import jobs
 
@@ -63,8 +64,30 @@ def test_encoded_corpus(spark, tmp_path):
     out = tmp_path / "out"
     jobs.build_corpus(spark, sources(tmp_path), str(out), jobs.Options(encode=True, sequence_length=8))
     rows = spark.read.parquet(str(out / "train_tokenized"))
-    assert {r["split"]: r["count"] for r in rows.groupBy("split").count().collect()} == {"train": 11, "validation": 2}
+    first = rows.where("window = 0")
+    assert {r["split"]: r["count"] for r in first.groupBy("split").count().collect()} == {"train": 11, "validation": 2}
     assert all(len(r["input_ids"]) == 8 for r in rows.collect())
+    tokens = {r["token_id"]: r["n"] for r in spark.read.parquet(str(out / "vocabulary")).collect()}
+    assert Counter(i for r in rows.collect() for i in r["input_ids"] if i) == tokens
+
+
+def test_ledger_accounts_for_every_line(spark, tmp_path):
+    made = sources(tmp_path)
+    made[1] = jobs.Source(made[1].name, made[1].path, made[1].layout, cap=1)
+    rows = [{"question": "short", "answer": "SELECT 1"}, {"question": "long", "answer": f"SELECT '{'x' * 3000}'"}, {"question": "e"}]
+    made.append(jobs.Source("three", lines(tmp_path / "three.jsonl", rows)))
+    jobs.build_corpus(spark, made, str(tmp_path / "out"), jobs.Options())
+    found = {(r["source"], r["outcome"]): r["n"] for r in read(tmp_path / "out" / "ledger")}
+    total = Counter()
+    for (source, _), n in found.items():
+        total[source] += n
+    assert total == {"one": 26, "two": 2, "three": 3}
+    assert sum(n for (_, outcome), n in found.items() if outcome == "final") == read(tmp_path / "out" / "metadata")[0]["num_examples"]
+    assert {k: n for k, n in found.items() if k[1] not in ("final", "rebalanced") and k != ("two", "duplicate")} == {
+        ("one", "broken"): 1, ("one", "refused: non_sql"): 1, ("one", "duplicate"): 1, ("two", "capped"): 1,
+        ("three", "length"): 1, ("three", "refused: empty"): 1,
+    }
+    assert any(outcome == "rebalanced" for _, outcome in found)
 
 
 def test_rows_without_a_question_are_no_duplicates(spark, tmp_path):
@@ -106,3 +129,19 @@ def test_without_validation_finished_text_stays(spark, tmp_path):
     common, _ = jobs.ingest(spark, made)
     staged = jobs.stage_rows(common, jobs.Options(dialect="postgres", validate=False)).collect()
     assert sorted(r.text for r in staged) == texts and not any(r.reject_reason for r in staged)
+
+
+def test_merged_code_keeps_statements_that_differ_late(spark):
+    from quarrysql.plans import curation
+
+    listed = ", ".join(f"column_{i}" for i in range(12))
+    files = [("a.sql", f"SELECT {listed}, x FROM t;\n\nSELECT {listed}, y FROM t;"), ("b/no_number.sql", f"SELECT {listed}, x FROM t;")]
+    files.append(("many.sql", "\n\n".join(f"SELECT c{i} FROM t{i};" for i in range(1_100))))
+    made = curation.code_transcripts(spark.createDataFrame([(p, "sql", c) for p, c in files], "path string, ext string, content string"))
+    current = spark.createDataFrame([(LEGACY.format("q", "SELECT 1 FROM u"),)], "text string")
+    numbered = made.selectExpr("struct(path, stmt_no) AS row_id", "text")
+    out = curation.merge_code(current, numbered, "row_id")
+    assert out.where("part = 1").count() == 2 + 1_100
+    again = curation.merge_code(out.select("text"), numbered, "row_id")
+    assert again.where("part = 1").count() == 0
+    assert curation.merge_code(current, numbered, "row_id", cap=7).where("part = 1").count() == 7

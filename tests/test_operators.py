@@ -2,6 +2,7 @@
 
 import re
 from collections import Counter
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -19,6 +20,10 @@ def test_jsonl_round_trip(spark, tmp_path):
     good, bad = corpus.read_jsonl(spark, str(tmp_path / "in.jsonl"), corpus.LAYOUTS["text"])
     assert sorted([r["text"] or "" for r in good.collect()]) == ["", "5", "café 日"]
     assert [r["line"] for r in bad.collect()] == ["{broken"] and bad.count() == 1
+    assert bad.first()["file_path"].endswith("in.jsonl")
+    parsed = corpus.parse_jsonl(spark, str(tmp_path / "in.jsonl"), corpus.LAYOUTS["text"])
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") + plan.count("jsontostructs") == 1
     corpus.write_text_jsonl(good, str(tmp_path / "out"))
     written = "".join(p.read_text(encoding="utf8") for p in (tmp_path / "out").glob("part-*"))
     assert '"café 日"' in written
@@ -42,11 +47,34 @@ def test_snapshots(spark):
         corpus.snapshot_read(spark, base)
     assert corpus.snapshot_write(spark.range(3), base) == 1
     assert corpus.snapshot_write(corpus.snapshot_read(spark, base).union(spark.range(2)), base) == 2
-    # Data without a commit does not count, and its folder is free for the next writer.
-    spark.range(100).write.parquet(f"{base}/data/version=3")
+    # Data without a commit does not count.
+    spark.range(100).write.parquet(f"{base}/data/left-over")
     assert corpus.snapshot_read(spark, base).count() == 5
     assert corpus.snapshot_write(spark.range(1), base) == 3
     assert corpus.snapshot_read(spark, base, 1).count() == 3
+    with pytest.raises(FileNotFoundError):
+        corpus.snapshot_read(spark, base, 9)
+
+
+def test_two_writers_of_one_version(spark):
+    base = scratch_path(spark, "snap")
+    corpus.snapshot_write(spark.range(3), base)
+    first, second = spark.range(4), spark.range(7)
+    assert corpus.snapshot_write(first, base, after=1) == 2
+    with pytest.raises(corpus.VersionTaken):
+        corpus.snapshot_write(second, base, after=1)
+    assert corpus.snapshot_read(spark, base).count() == 4
+
+    def attempt(n):
+        try:
+            return corpus.snapshot_write(spark.range(n), base, after=2)
+        except corpus.VersionTaken:
+            return None
+
+    with ThreadPoolExecutor(6) as pool:
+        got = list(pool.map(attempt, range(10, 16)))
+    assert sorted(x for x in got if x) == [3]
+    assert corpus.snapshot_read(spark, base).count() == 10 + got.index(3)
 
 
 def brute_statements(content):
@@ -101,31 +129,27 @@ def test_scan_budget(spark):
     assert sorted(r["file_id"] for r in extract.scan_budget(df, 3, max_check=4).collect()) == [1]
 
 
-def test_encode(spark, monkeypatch):
-    monkeypatch.setattr(encode, "HEAD_SIZE", 2)
-    docs = [(1, "b a  a\tc"), (2, "a b   d"), (3, " "), (4, "a a a a a a a a")]
-    df = spark.createDataFrame(docs, "id long, text string")
+@pytest.mark.parametrize("chunk", [1, 9, 1_000_000])
+def test_encode_whole_texts_in_windows(spark, monkeypatch, chunk):
+    monkeypatch.setattr(encode, "CHUNK", chunk)
+    docs = [(1, "b a  a\tc"), (2, "a b   d"), (3, " "), (4, "a a a a a a a a"), (5, None), (6, "\x1fe\u2003f\xa0a\u3000g b"), (7, "a b c d e")]
+    df = spark.createDataFrame(docs, "id long, text string").repartition(3)
     vocabulary = encode.build_vocabulary(df)
-    counts = Counter(w for _, t in docs for w in t.split())
+    counts = Counter(w for _, t in docs for w in (t or "").split())
     order = sorted(counts, key=lambda w: (-counts[w], w))
     number = {w: i + 1 for i, w in enumerate(order)}
     assert {r["token"]: r["token_id"] for r in vocabulary.collect()} == number
-    for r in encode.encode_fixed(df, vocabulary, "id", max_len=5).collect():
-        want = [number[w] for w in dict(docs)[r["id"]].split()][:5]
-        assert r["input_ids"] == want + [0] * (5 - len(want)) == r["labels"]
-        assert r["attention_mask"] == [1] * len(want) + [0] * (5 - len(want))
-
-
-def test_encode_further_windows(spark):
-    docs = {1: "b a  a\tc d e f", 2: "a b", 3: "a b c d e", 4: "a b c d e f", 5: None}
-    df = spark.createDataFrame(list(docs.items()), "id long, text string")
-    vocabulary = encode.build_vocabulary(df)
-    number = {r["token"]: r["token_id"] for r in vocabulary.collect()}
-    found = {(r["id"], r["window"]): r for r in encode.encode_further(df, vocabulary, "id", max_len=2).collect()}
-    want = {(i, k): [number[w] for w in (t or "").split()][2 * k : 2 * k + 2] for i, t in docs.items() for k in range(1, 4)}
-    want = {k: v for k, v in want.items() if v}
-    assert {k: [x for x in r["input_ids"] if x] for k, r in found.items()} == want
-    assert all(len(r["input_ids"]) == 2 and sum(r["attention_mask"]) == len(want[k]) for k, r in found.items())
+    found = {(r["id"], r["window"]): r for r in encode.encode_fixed(df, vocabulary, "id", max_len=5).collect()}
+    ids = {i: [number[w] for w in (t or "").split()] for i, t in docs}
+    want = {(i, k): own[5 * k : 5 * k + 5] for i, own in ids.items() for k in range(max(1, -(-len(own) // 5)))}
+    assert found.keys() == want.keys()
+    for key, own in want.items():
+        r = found[key]
+        assert r["input_ids"] == own + [0] * (5 - len(own)) == r["labels"]
+        assert r["attention_mask"] == [1] * len(own) + [0] * (5 - len(own))
+    few = encode.encode_fixed(df, vocabulary.where("token <> 'a'"), "id", max_len=5).where("id = 4").collect()
+    assert [(r["window"], sum(r["attention_mask"])) for r in few] == [(0, 0)]
+    assert encode.encode_fixed(df.limit(0), vocabulary, "id").count() == 0
 
 
 def ranks(values):
@@ -262,11 +286,15 @@ def test_hot_group_is_not_exchanged(spark, monkeypatch):
 
     monkeypatch.setattr(skew, "HOT_GROUPS", 3)
     rows = [("hot", i) for i in range(50)] + [(f"k{i}", i) for i in range(40)] + [(None, 1), (None, 2)]
+    top = {k: max(x for j, x in rows if j == k) for k, _ in rows}
     df = spark.createDataFrame(rows, "k string, x int")
-    groups = df.groupBy("k").agg(F.max("x").alias("top"), F.count("*").alias("n"))
-    out = skew.join_group_rows(df, groups, ["k"], "n")
-    want = sorted(((k, x, max(b for a, b in rows if a == k)) for k, x in rows), key=str)
-    assert sorted((tuple(r) for r in out.collect()), key=str) == want
+    out = skew.with_group_values(df, ["k"], top=F.max("x"))
+    assert sorted(map(repr, map(tuple, out.collect()))) == sorted(repr((k, x, top[k])) for k, x in rows)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") <= 2
+    groups = df.groupBy("k").agg(F.max("x").alias("top"), F.count("*").alias("n")).where("k IS NULL OR k <> 'k7'")
+    met = skew.look_up(df, groups, ["k"], "n")
+    assert sorted(map(repr, map(tuple, met.collect()))) == sorted(repr((k, x, None if k == "k7" else top[k])) for k, x in rows)
+
 
 
 def test_reports_pair_models_without_a_join(spark):

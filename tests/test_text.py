@@ -230,3 +230,38 @@ def test_patterns_know_all_scripts(value):
     assert value(statements.describe_sql, texts) == ["Update records in ÑAME", "Insert a new record into 日本"]
     assert value(statements.mysql_to_postgres, ["éYEAR(a) + YEAR(\x1fé)"]) == ["éYEAR(a) + EXTRACT(YEAR FROM é)"]
     assert value(statements.canonicalize_schema, ["a\n\x1f\nb"]) == ["a\nb"]
+
+
+def test_skeleton_takes_quotes_and_comments_in_their_order(value):
+    cases = {
+        "a = '--' AND b": "a = 0  AND b",
+        "a -- it's\nb": "a  \nb",
+        "/* ' */ a 'x /* y'": "  a 0 ",
+        '"it\'s" \'a"b\'': "n  0 ",
+        "'a''b' 'c": "0  'c",
+        "E'\\'' e'a\\\\' x'": "0  0  x'",
+        "$$ ' $$ $t$ $$ ' $t$ $1": "    $1",
+        "`a'b` /* open": "n  /* open",
+        "plain": "plain",
+    }
+    assert value(lambda c: statements.skeleton(c), list(cases)) == list(cases.values())
+    long = "SELECT '" + "''" * 50_000 + "' /*" + "*" * 50_000 + "*/ FROM t"
+    assert value(lambda c: statements.skeleton(c), [long, None]) == ["SELECT 0    FROM t", None]
+
+
+def test_gate_takes_what_a_reader_takes(spark):
+    from quarrysql.plans.derived import GATE_CASES
+
+    df = spark.createDataFrame([(i, text.replace("<K>", "7")) for i, (text, _) in enumerate(GATE_CASES)], "i int, sql string")
+    found = {r.i: r.reject_reason for r in statements.gate(df).collect()}
+    assert [(GATE_CASES[i][0], found[i]) for i in sorted(found)] == list(GATE_CASES)
+    loose = {r.i: r.reject_reason for r in statements.gate(df, lint=False).collect()}
+    assert all(loose[i] == (why if why in ("empty", "non_sql") else None) for i, (_, why) in enumerate(GATE_CASES))
+
+
+def test_instruction_without_a_cut(value):
+    listed = ", ".join(f"c{i}" for i in range(30))
+    sql = [f"SELECT {listed} FROM t", "SELECT * FROM t", "SELECT 1", None]
+    shown = f"Get {listed.upper()} from T"
+    assert value(lambda c: statements.describe_sql(c, None), sql) == [shown, "Get all records from T", "Execute this SQL query", "Execute this SQL query"]
+    assert value(lambda c: statements.describe_sql(c), sql[:1]) == [f"Get {listed.upper()[:50]} from T"]
