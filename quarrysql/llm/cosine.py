@@ -11,6 +11,7 @@ Equal vectors of one label are one class, with the number of its rows; all produ
 from __future__ import annotations
 
 import math
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -104,52 +105,69 @@ def _classes(rows: DataFrame) -> DataFrame:
     return written(found.select(F.monotonically_increasing_id().alias("cls"), "*"), "cosine-classes")
 
 
+def _middles(classes: DataFrame) -> dict[int, np.ndarray]:
+    """Centres for each length of vectors that the sample holds, in proportion to its share of it."""
+    sample = classes.select("v", F.xxhash64("v").alias("h")).distinct().orderBy("h", "v").limit(SAMPLE).collect()
+    if not sample:
+        return {}
+    by = defaultdict(list)
+    for r in sample:
+        by[len(r.v)].append(r.v)
+    total = classes.count()
+    # At most CENTRES vectors for a length, and never more than the sample.
+    return {
+        n: centres(_unit(stacked(own)), min(CENTRES, len(own), max(1, -(-total * len(own) // len(sample) // PER_CELL))))
+        for n, own in by.items()
+    }
+
+
 def _links(classes: DataFrame, least: float) -> DataFrame:
-    """(cls, n, root) of every block; see ``compared``."""
+    """(cls, n, root) of every block; see ``compared``. Vectors meet others of their length only."""
     spark = classes.sparkSession
-    k = min(CENTRES, max(1, -(-classes.count() // PER_CELL)))
-    sample = classes.select("v", F.xxhash64("v").alias("h")).distinct().orderBy("h", "v").limit(SAMPLE).collect()
-    middle = centres(_unit(stacked(r.v for r in sample)), min(k, len(sample))) if sample else np.zeros((0, 1))
-    shared = spark.sparkContext.broadcast(middle)  # at most CENTRES vectors
+    shared = spark.sparkContext.broadcast(_middles(classes))
+    label = classes.schema["label"].dataType.simpleString()
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for df in batches:
-            if len(df):
-                into = cells(_unit(stacked(df.v)), shared.value, least)
-                yield df.assign(cells=[np.flatnonzero(m).astype(np.int32) for m in into])
+            for length, own in df.groupby(df.v.map(len)):
+                middle = shared.value.get(length)  # a length that the sample does not hold has one cell
+                into = np.ones((len(own), 1), bool) if middle is None else cells(_unit(stacked(own.v)), middle, least)
+                yield own.assign(length=np.int32(length), cells=[np.flatnonzero(m).astype(np.int32) for m in into])
 
-    placed = classes.select("cls", "label", "rows", "v").mapInPandas(place, "cls long, label long, rows long, v array<double>, cells array<int>")
+    placed = classes.select("cls", "label", "rows", "v").mapInPandas(
+        place, f"cls long, label {label}, rows long, v array<double>, length int, cells array<int>"
+    )
     placed = written(placed, "cosine-placed").withColumn("cell", F.explode("cells"))
-    blocks = placed.groupBy("label", "cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    blocks = placed.groupBy("label", "length", "cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     # A block meets itself and every other block of its cell; the rows of a large cell are spread over its blocks.
     sides = (
-        placed.join(blocks, ["label", "cell"])
+        placed.join(blocks, ["label", "length", "cell"])
         .withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("label", "cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cls", "rows", "v", "cells")
+        .select("label", "length", "cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cls", "rows", "v", "cells")
     )
 
     def run(key: tuple, df: pd.DataFrame) -> pd.DataFrame:
-        _, cell, i, j = key
+        *_, cell, i, j = key
         df = df.sort_values("cls")
         left, right = df[df.own == i], None if i == j else df[df.own == j]
         if len(df) < 2 or not len(left) or right is not None and not len(right):
             return pd.DataFrame({"cls": [], "n": [], "root": []}, dtype="int64")
         return compared(int(cell), left, right, least)
 
-    return written(sides.groupBy("label", "cell", "i", "j").applyInPandas(run, "cls long, n long, root long"), "cosine-links")
+    return written(sides.groupBy("label", "length", "cell", "i", "j").applyInPandas(run, "cls long, n long, root long"), "cosine-links")
 
 
 def near_duplicates(df: DataFrame, least: float = LEAST) -> DataFrame:
     """One row for each row of ``df`` (vec_id, embedding, label): vec_id, n_links, component_id, kept.
 
-    * Links join rows of one label whose vectors have a cosine of ``least`` or more, in double precision. Rows with a null
+    * Links join rows of one label, of any type, whose vectors have one length and a cosine of ``least`` or more, in double precision. Rows with a null
       label, or a vector that ``usable`` leaves out, link with nothing: n_links 0, component_id their own id.
     * n_links counts all other rows linked directly, equal vectors included. component_id is the smallest id reachable; a null id
       is never the smallest, and a component of null ids alone has a null one. kept is vec_id = component_id, nulls included.
     * Repeated ids are rows of their own. Other columns are ignored. An empty table gives an empty result.
     """
-    base = written(df.select("vec_id", F.col("label").cast("long").alias("label"), "embedding").withColumn("row", F.monotonically_increasing_id()), "cosine-rows")
+    base = written(df.select("vec_id", "label", "embedding").withColumn("row", F.monotonically_increasing_id()), "cosine-rows")
     fit = usable(base.where(F.col("label").isNotNull())).select("row", "vec_id", "label", "v")
     classes = _classes(fit)
     found = _links(classes, least)

@@ -22,8 +22,9 @@ from quarrysql.session import written
 
 #: Most copies of a document, and most of a source's size that a target can be.
 MOST = 3
-#: Newton ends when every source is this near to its target, relatively, or after so many steps.
-NEAR, STEPS = 1e-9, 40
+#: Newton ends when every source is this near to its target, relatively. After so many steps the bounds alone are halved; so many
+#: steps in all, and a source that is not there yet is an error.
+NEAR, STEPS, ALL_STEPS = 1e-9, 40, 120
 #: Rounding: bits of a document's rank that are narrowed down in each of two passes, and passes that fill what is left.
 NARROW, FILLS = 12, 12
 
@@ -79,18 +80,22 @@ def _rate() -> Column:
 
 
 def _solve(hist: DataFrame, parts: list[Part]) -> None:
-    """Newton steps on every multiplier at once, held between the bounds that the gradients' signs have set."""
+    """Newton steps on every multiplier at once, held between the bounds that the gradients' signs have set.
+
+    Sums are of decimals, so they do not depend on the order in which rows arrive, and reruns agree.
+    """
     spark = hist.sparkSession
     rate, x = _rate(), F.col("size") / F.col("mean")
-    for _ in range(STEPS):
+    exact = lambda c: F.sum(c.cast("decimal(38,9)")).cast("double")
+    for step_no in range(ALL_STEPS):
         live = [p for p in parts if 0 < p.target < MOST * p.size]
         sums = (
             hist.join(_sources(spark, live).select("no", "mean", "m", "full"), "no")
             .withColumn("r", rate)
             .groupBy("no")
             .agg(
-                F.sum(F.col("rows") * F.col("size") * F.col("r")).alias("taken"),
-                F.sum(F.when(F.col("r") < MOST, F.col("rows") * F.col("size") * F.col("r") * x)).alias("slope"),
+                exact(F.col("rows") * F.col("size") * F.col("r")).alias("taken"),
+                exact(F.when(F.col("r") < MOST, F.col("rows") * F.col("size") * F.col("r") * x)).alias("slope"),
             )
             .collect()
             if live
@@ -105,11 +110,12 @@ def _solve(hist: DataFrame, parts: list[Part]) -> None:
             p.low, p.high = (max(p.low, p.m), p.high) if gap > 0 else (p.low, min(p.high, p.m))
             step = p.m + (gap / s.slope if s.slope else math.copysign(1.0, gap))
             if math.isfinite(p.low) and math.isfinite(p.high):
-                p.m = step if p.low < step < p.high else (p.low + p.high) / 2
+                p.m = step if p.low < step < p.high and step_no < STEPS else (p.low + p.high) / 2
             else:
                 p.m = min(max(step, p.m - 4.0), p.m + 4.0)
-        if far <= NEAR:
+        if far <= NEAR or all(p.high - p.low <= 1e-15 * abs(p.m) for p in live):  # no number between the bounds comes nearer
             return
+    raise RuntimeError(f"the rates of a source did not come within {NEAR} of its target in {ALL_STEPS} steps")
 
 
 def _rank() -> Column:

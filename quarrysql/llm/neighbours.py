@@ -91,7 +91,7 @@ def nearest(df: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
     """The ``k`` nearest rows found for each row whose vec_id is divisible by ``every``: query_id, rank, vec_id, score.
 
     Nearness is the inner product in double precision on the vectors as they are; ties go to the smaller vec_id, null last. Candidates are
-    all rows but the query's own row; rows that ``usable`` leaves out take no part on either side. A null
+    all rows with a vector of the query's length but its own row; rows that ``usable`` leaves out take no part on either side. A null
     vec_id is never a query. Rows that repeat an id are queries and candidates of their own. With fewer than k
     candidates all are returned. Other columns are ignored. An empty table gives an empty result.
     """
@@ -108,6 +108,7 @@ def nearest(df: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
     blocks, groups = max(1, -(-seen.n // BLOCK)), max(1, -(-(seen.q or 0) // QUERIES))
     deal = lambda n, salt: F.pmod(F.xxhash64("row", F.lit(salt)), F.lit(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    rows = rows.withColumn("length", F.size("v"))
     held = rows.withColumn("block", deal(blocks, 1)).withColumn("group", each(groups))
     asked = rows.where(is_query).withColumn("group", deal(groups, 2)).withColumn("block", each(blocks))
 
@@ -124,7 +125,7 @@ def nearest(df: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
         names = ["query_row", "query_id", "row", "vec_id", "score"]
         return pd.concat(out) if out else pd.DataFrame({c: [] for c in names})
 
-    found = held.groupBy("block", "group").cogroup(asked.groupBy("block", "group")).applyInPandas(
+    found = held.groupBy("length", "block", "group").cogroup(asked.groupBy("length", "block", "group")).applyInPandas(
         run, "query_row long, query_id long, row long, vec_id long, score double"
     )
     order = Window.partitionBy("query_row").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"), "row")

@@ -33,7 +33,8 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 WINDOW = 20
 #: Least bits a character, by class: hexadecimal digits alone, or any of the alphabet.
 BITS = {"hex": 3.0, "any": 3.9}
-#: Candidates that are never secrets: words and plain numbers, numbered UUIDs, digests that say what they are, sequences and fillers.
+#: What is never a secret. Patterns that begin with ^ look at a whole candidate: words and plain numbers, numbered UUIDs, digests that say
+#: what they are. Others look at a joined span of windows alone, whatever stands beside it: sequences and fillers, and paths of words.
 ALLOWED = [
     r"^[A-Za-z+/_=-]+$",
     r"^[0-9+/_=-]+$",
@@ -139,16 +140,17 @@ def _of_kind(spans: Column, kind: int) -> Column:
 def scan(df: DataFrame, allowed: list[str] | None = None) -> DataFrame:
     """Adds ``spans`` to a frame with the text in column ``t``: an array of (s, k, e) in order of start and kind.
 
-    ``t`` must not be null. ``allowed`` are patterns that suppress a candidate of kind entropy, besides ALLOWED.
+    ``t`` must not be null. ``allowed`` are patterns besides ALLOWED that suppress a candidate of kind entropy (with ^) or a span of it.
     """
     df = df.withColumn("low", F.lower("t"))
     for name, pattern in (("assign", ASSIGN), ("access", ACCESS), ("hex", HEX), ("runs", CANDIDATE)):
         df = _found(df, f"_{name}", pattern)
     stop = [*ALLOWED, *(allowed or [])]
-    wanted = F.filter("_runs", lambda x: ~F.coalesce(*[F.when(x["v"].rlike(p), True) for p in stop], F.lit(False)))
-    df = df.withColumn("_runs", wanted)
+    passes = lambda v, anchored: ~reduce(or_, [v.rlike(p) for p in stop if p.startswith("^") == anchored], F.lit(False))
+    df = df.withColumn("_runs", F.filter("_runs", lambda x: passes(x["v"], True)))
+    kept = lambda x: F.filter(_windows(x["v"]), lambda y: passes(F.substr(x["v"], y["s"] + 1, y["e"] - y["s"]), False))
     entropy = F.flatten(
-        F.transform("_runs", lambda x: F.transform(_windows(x["v"]), lambda y: F.struct((x["s"] + y["s"]).alias("s"), F.lit(3).alias("k"), (x["s"] + y["e"]).alias("e"))))
+        F.transform("_runs", lambda x: F.transform(kept(x), lambda y: F.struct((x["s"] + y["s"]).alias("s"), F.lit(3).alias("k"), (x["s"] + y["e"]).alias("e"))))
     )
     assign = F.filter("_assign", lambda x: F.length(F.regexp_extract(x["v"], ASSIGN, 2)) >= ASSIGN_LEAST)
     spans = F.concat(_of_kind(assign, 0), _of_kind(F.col("_access"), 1), _of_kind(F.col("_hex"), 2), F.when(F.size("_runs") > 0, entropy).otherwise(F.array().cast("array<struct<s:int,k:int,e:int>>")))

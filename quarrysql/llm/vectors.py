@@ -8,16 +8,13 @@ from pyspark.sql import functions as F
 
 
 def usable(df: DataFrame, column: str = "embedding") -> DataFrame:
-    """The rows whose vector can take part, with the vector as doubles in ``v``.
+    """The rows whose vector can take part, with the vector as doubles in ``v``; vectors of any length.
 
-    Left out are vectors that are null, empty or zero, that hold a null, a NaN or an infinity, or that have not
-    the most frequent length.
+    Left out are vectors that are null, empty or zero, or that hold a null, a NaN or an infinity.
     """
     bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
     fit = F.exists("v", lambda x: x != 0) & ~F.exists("v", bad)
-    rows = df.withColumn("v", F.col(column).cast("array<double>")).where(F.coalesce(fit, F.lit(False)))
-    usual = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
-    return rows.where(F.size("v") == (usual[0].n if usual else 0))
+    return df.withColumn("v", F.col(column).cast("array<double>")).where(F.coalesce(fit, F.lit(False)))
 
 
 def stacked(values) -> np.ndarray:
