@@ -151,6 +151,27 @@ def overlap(new: DataFrame, current: DataFrame, new_question: Column | str, curr
     ).withColumn("unique_overlap_rate", _percent(F.col("overlapping_unique"), F.col("new_unique")))
 
 
+def source_stats(df: DataFrame, question: Column | str, usable: Column, source: str = "source") -> DataFrame:
+    """For every source its rows (``total``), the percent of ``usable`` ones, and the overlap (A56) with all other sources.
+
+    One pass for any number of sources: rows are counted per question and source, which sources a question has is gathered
+    per question, and the rest is counting. A hot question travels once per task and source.
+    """
+    key = F.coalesce(lower_strip(question), F.lit(""))
+    own = df.groupBy(key.alias("q"), F.col(source).alias("source")).agg(F.count(F.lit(1)).alias("n"), F.count_if(usable).alias("usable"))
+    met = own.groupBy("q").agg(F.collect_list(F.struct("source", "n", "usable")).alias("sources"))  # one entry a source
+    told = met.select("q", (F.size("sources") > 1).alias("shared"), F.inline("sources"))
+    asked = F.col("q") != ""
+    sums = told.groupBy("source").agg(
+        F.sum("n").alias("total"),
+        F.sum("usable").alias("usable"),
+        F.count_if(asked).alias("unique"),
+        F.coalesce(F.sum(F.when(asked & F.col("shared"), F.col("n"))), F.lit(0)).alias("overlapping"),
+    )
+    rate = _percent(F.col("overlapping"), F.col("unique")).alias("overlap_rate")
+    return sums.select(F.col("source").alias(source), "total", _percent(F.col("usable"), F.col("total")).alias("schema_pct"), rate)
+
+
 def scorecard(stats: DataFrame) -> DataFrame:
     """Labels and a recommendation from ``total``, ``overlap_rate`` and ``schema_pct``."""
     total, over, schema = F.col("total"), F.col("overlap_rate"), F.col("schema_pct")

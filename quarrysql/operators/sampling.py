@@ -1,56 +1,47 @@
 """Exact-size samples, rebalancing, shuffling and splits.
 
-A sample of ``n`` rows is the ``n`` smallest by hash (or by order) of a unique id. The cut-off comes
-from two narrow passes: a histogram of at most 65,537 buckets, and the ids of the one bucket that
-holds the n-th row. The wide rows are only compared with it, never sorted or moved.
+A sample of ``n`` rows is the ``n`` smallest by hash (or by order) of a unique id. Narrow rows of ids are written once, and the n-th
+of them is found by counting: the range of their numbers is cut into slices, and the slice that holds the n-th is
+cut again, until few rows are left to sort. So neither an outlier nor ids in clusters leave a task with many rows. The
+wide rows are only compared with the n-th id, never sorted or moved.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarrysql.functions.text import hash_bucket, hash_hex
+from quarrysql.session import written
 
-BUCKETS = 65_536
+#: Slices of a range, which is also how many counts the driver sees at a time, and rows that one task may sort.
+SLICES, FEW = 4_096, 10_000
 
 
 Quota = Callable[[Column, Column], Column]
 
 
-def _cut(ids: DataFrame, quota: Quota, low: Column, high: Column) -> Column:
-    """The largest ``(h, id)`` inside the quota, as a scalar struct.
-
-    ``ids`` holds ``b`` (a bucket that grows with ``h``), ``h``, ``id``, and ``wanted``: rows that are
-    not wanted are only counted. ``quota`` gets both counts. ``low`` and ``high`` stand for the cut
-    when nothing or everything is inside. The unpartitioned windows see one row per bucket; the ranking
-    window sees the rows of a single bucket.
-    """
-    wanted = F.col("wanted")
-    histogram = ids.groupBy("wanted", "b").agg(F.count("*").alias("n"))
-    mine = F.when(wanted, F.col("n")).otherwise(0)
-    whole = Window.partitionBy()
-    counted = histogram.select(
-        "wanted", "b", "n",
-        F.sum(mine).over(whole).alias("total"),
-        F.sum(F.col("n") - mine).over(whole).alias("others"),
-        F.sum(mine).over(Window.orderBy("b").rowsBetween(Window.unboundedPreceding, 0)).alias("upto"),
-    ).withColumn("quota", quota(F.col("total"), F.col("others")))
-    before = F.col("upto") - F.col("n")
-    target = counted.where(wanted & (before < F.col("quota")) & (F.col("upto") >= F.col("quota")))
-    target = target.select("b", before.alias("before"), "quota")
-    edge = ids.where(wanted).join(F.broadcast(target), "b")  # target: one row or none
-    place = F.row_number().over(Window.partitionBy("b").orderBy("h", "id"))
-    found = edge.withColumn("place", place).where(F.col("place") + F.col("before") == F.col("quota"))
-    outside = F.when(F.max("quota") <= 0, low).otherwise(high)
-    default = counted.agg(outside.alias("h"), F.lit(0).cast("bigint").alias("id"))
-    either = default.select(F.struct("h", "id").alias("cut"), F.lit(0).alias("rank")).unionByName(
-        found.select(F.struct("h", "id").alias("cut"), F.lit(1).alias("rank"))
-    )
-    return either.agg(F.max_by("cut", "rank").alias("cut")).scalar()
+def _nth(ids: DataFrame, n: int, order: list[str]) -> Row | None:
+    """The ``n``-th row by ``order``, whose first column is a number; None if there are fewer rows, or n is not positive."""
+    key = F.col(order[0])
+    ends = ids.agg(F.min(key).alias("lo"), F.max(key).alias("hi"), F.count(F.lit(1)).alias("n")).first()
+    if not 0 < n <= ends.n:
+        return None
+    lo, hi, before, held = ends.lo, ends.hi, 0, ends.n
+    while held > FEW and lo < hi:
+        width = -(-(hi - lo + 1) // SLICES)
+        # Differences of two 64-bit numbers need not fit into one.
+        offset = key.cast("decimal(20,0)") - F.lit(lo).cast("decimal(20,0)") if hi - lo >= 2**63 else key - F.lit(lo)
+        slices = ids.where(key.between(lo, hi)).groupBy(F.floor(offset / F.lit(width)).cast("int").alias("slice")).agg(F.count(F.lit(1)).alias("n"))
+        for found in sorted(slices.collect()):
+            if before + found.n >= n:
+                break
+            before += found.n
+        lo, hi, held = lo + found.slice * width, min(hi, lo + (found.slice + 1) * width - 1), found.n
+    return ids.where(key.between(lo, hi)).orderBy(*order).limit(n - before).orderBy(*[F.desc(c) for c in order]).first()
 
 
 def _id(df: DataFrame, id_col: str) -> Column:
@@ -62,16 +53,22 @@ def _id(df: DataFrame, id_col: str) -> Column:
 def within_sample(
     df: DataFrame, quota: Quota, id_col: str = "row_id", salt: str = "sample", wanted: Column | None = None
 ) -> Column:
-    """A column that is true for the rows of ``df`` with the smallest id hash, up to the quota."""
-    number = _id(df, id_col)
-    bucket = F.conv(F.substring(F.col("h"), 1, 4), 16, 10).cast("int")
-    ids = df.select(
-        hash_hex(id_col, salt).alias("h"),
-        number.alias("id"),
-        (F.lit(True) if wanted is None else wanted).alias("wanted"),
-    ).withColumn("b", bucket)
-    cut = _cut(ids, quota, low=F.lit(""), high=F.lit("g"))  # around all hexadecimal digits
-    return F.struct(hash_hex(id_col, salt).alias("h"), number.alias("id")) <= cut
+    """A column that is true for the rows of ``df`` with the smallest id hash, up to the quota.
+
+    ``quota`` gets the number of rows that are ``wanted``, all by default, and of the others.
+    """
+    h, number = hash_hex(id_col, salt), _id(df, id_col)
+    mine = F.lit(True) if wanted is None else F.coalesce(wanted, F.lit(False))
+    leading = F.conv(F.substring("h", 1, 15), 16, 10).cast("bigint")  # grows with the hash
+    ids = written(df.select(h.alias("h"), number.alias("id"), mine.alias("wanted")).select(leading.alias("b"), "*"), "sample-ids")
+    counts = ids.agg(F.count_if("wanted").alias("total"), F.count_if(~F.col("wanted")).alias("others"))
+    sizes = counts.select("total", quota(F.col("total"), F.col("others")).cast("bigint").alias("quota")).first()
+    if sizes.quota >= sizes.total:
+        return F.lit(True)
+    last = _nth(ids.where("wanted"), sizes.quota, ["b", "h", "id"])
+    if last is None:
+        return F.lit(False)
+    return F.struct(h.alias("h"), number.alias("id")) <= F.struct(F.lit(last.h).alias("h"), F.lit(last.id).cast("bigint").alias("id"))
 
 
 def cap_source(df: DataFrame, n: int, id_col: str = "row_id", salt: str = "cap") -> DataFrame:
@@ -80,18 +77,10 @@ def cap_source(df: DataFrame, n: int, id_col: str = "row_id", salt: str = "cap")
 
 
 def first_rows(df: DataFrame, n: int, id_col: str = "row_id") -> DataFrame:
-    """A04, other mode: the first ``n`` rows by id.
-
-    The buckets are equal slices of the id range. Ids given out per input split stay spread over them.
-    """
-    ends = df.select(F.struct(F.min(id_col).alias("lo"), F.max(id_col).alias("hi"))).scalar()
-    width = F.greatest((ends["hi"] - ends["lo"]) / F.lit(BUCKETS), F.lit(1.0))
-    mine = F.col(id_col).cast("bigint")
-    ids = df.select(
-        F.floor((mine - ends["lo"]) / width).alias("b"), mine.alias("h"), mine.alias("id"), F.lit(True).alias("wanted")
-    )
-    low, high = F.lit(-(2**63)).cast("bigint"), F.lit(2**63 - 1).cast("bigint")
-    return df.where(mine <= _cut(ids, lambda total, others: F.lit(n), low, high)["h"])
+    """A04, other mode: the first ``n`` rows by id. The id found reaches the scan of the rows as a plain filter."""
+    ids = written(df.select(F.col(id_col).cast("bigint").alias("id")), "first-ids")
+    last = _nth(ids, n, ["id"])
+    return df.where(F.col(id_col) <= F.lit(last.id)) if last else df if n > 0 else df.limit(0)
 
 
 def select_quota(ratio: float) -> Quota:
@@ -112,7 +101,7 @@ def rebalance(
 ) -> DataFrame:
     """All rows that are not SELECT, and as many SELECT rows as the ratio allows.
 
-    Rows without SQL are dropped; :func:`quarrysql.operators.profile.run_report` counts them.
+    Rows without SQL are dropped; :func:`quarrysql.operators.profile.ledger` counts them.
     """
     usable = df.where(F.col(sql) != "")
     is_select = F.col(kind) == "SELECT"

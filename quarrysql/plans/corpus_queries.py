@@ -398,18 +398,9 @@ def a56_overlap(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def a57_scorecard(spark: SparkSession, sf: str) -> DataFrame:
-    """Every source against the other two."""
-    raw = _raw(spark, sf)
+    """Every source against all others."""
     usable = (F.col("schema_ddl") != "") & (F.col("sql") != "")
-    sizes = raw.groupBy("source").agg(
-        F.count("*").alias("total"), (F.sum(usable.cast("double")) * 100 / F.count("*")).alias("schema_pct")
-    )
-    rates = None
-    for name in ("synthetic", "community", "fixes"):
-        mine, others = raw.where(F.col("source") == name), raw.where(F.col("source") != name)
-        rate = profile.overlap(mine, others, "question", "question").select(F.lit(name).alias("source"), "overlap_rate")
-        rates = rate if rates is None else rates.unionByName(rate)
-    return profile.scorecard(sizes.join(rates, "source"))
+    return profile.scorecard(profile.source_stats(_raw(spark, sf), "question", usable))
 
 
 @query

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quarrysql.functions import chat, statements
 from quarrysql.functions.text import strip
-from quarrysql.operators import dedup, encode, profile, sampling
+from quarrysql.operators import dedup, encode, extract, profile, sampling, score
 from quarrysql.plans import curation
 from quarrysql.session import written
 from quarrysql.sources import corpus
@@ -161,3 +161,49 @@ def append_instructions(current: DataFrame, instructions: DataFrame) -> DataFram
     ).withColumn("source_rank", F.lit(0))
     new = dedup.anti_existing(made, current, chat.legacy_question_key("text"), chat.legacy_question_key("text"))
     return dedup.append_source(current, new)
+
+
+def merge_code_files(spark: SparkSession, files: str, base: str, dialect: str = "sql", cap: int | None = None) -> int:
+    """E2 from files to files: statements of code files become transcripts, and those that are new join the corpus at ``base``.
+
+    ``files`` are JSON lines (content, ext, path). The corpus is the latest version below ``base``, which has a column ``text``; the
+    first run starts one. Returns the number of the version written, refused with ``corpus.VersionTaken`` if another
+    writer was faster. A folder ``reports/version=<n>`` beside it gets the file report and the broken lines.
+    """
+    version = corpus.latest_version(spark, base)
+    rows, broken = corpus.read_jsonl(spark, files, corpus.LAYOUTS["code_file"])
+    named = extract.named_like_sql(rows)
+    found = written(extract.extract_statements(extract.with_content(named)), "found")
+    good = written(curation.accepted_statements(found), "accepted")
+    made = good.select(F.struct("path", "stmt_no").alias("row_id"), chat.render_legacy("schema_ddl", "instruction", "sql", dialect).alias("text"))
+    empty = spark.createDataFrame([], "text string")
+    current = corpus.snapshot_read(spark, base, version).select("text") if version else empty
+    merged = curation.merge_code(current, made, "row_id", cap)
+    # The order of the parts is that of the rows; within a part it does not matter.
+    number = corpus.snapshot_write(merged.select("text"), base, after=version or 0)
+    report = f"{base}/reports/version={number}"
+    profile.file_report(named, found, good).write.mode("errorifexists").json(f"{report}/files")
+    broken.write.mode("errorifexists").json(f"{report}/quarantine")
+    return number
+
+
+def score_outputs(spark: SparkSession, outputs: str, out: str, models: list[str], rule: str = "checkpoints") -> None:
+    """E3 from files to files: raw outputs of models to a leaderboard, a comparison, and what changed between versions.
+
+    ``outputs`` are JSON lines (case_id, category, model, raw_output), ``models`` the versions from the oldest to the newest. ``out`` gets
+    ``leaderboard``, ``comparison``, ``changes`` (of each model against the one before it), and ``quarantine``.
+    """
+    rows, broken = corpus.read_jsonl(spark, outputs, corpus.LAYOUTS["output"])
+    judged = written(score.evaluated(rows, rule), "judged")
+    reports = {
+        "leaderboard": score.leaderboard(judged, models),
+        "comparison": score.comparison_table(judged, models),
+        "quarantine": broken,
+    }
+    changes = [
+        score.version_diff(judged, new, old).select(F.lit(old).alias("before"), F.lit(new).alias("after"), "*") for old, new in zip(models, models[1:])
+    ]
+    if changes:
+        reports["changes"] = corpus.merge_sources(changes)
+    for name, df in reports.items():
+        df.write.mode("errorifexists").json(f"{out}/{name}")

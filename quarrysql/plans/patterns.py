@@ -392,14 +392,14 @@ def b41_except(t: Tables) -> DataFrame:
 
 
 def b42_row_number(t: Tables) -> DataFrame:
-    o = t("orders").withColumn("o_day", day("o_orderdate"))
-    placed = ranked(o, ["o_custkey"], "o_day", F.trunc("o_day", "year"), tie_break="o_orderkey")
+    o = t("orders").select("o_orderkey", "o_custkey", day("o_orderdate").alias("o_day"))
+    placed = ranked(o, ["o_custkey"], "o_day", tie_break="o_orderkey")
     return placed.select("o_orderkey", "o_custkey", F.col("row_number").cast("bigint").alias("rn"))
 
 
 def b43_rank(t: Tables) -> DataFrame:
-    line = t("lineitem").withColumn("qty", F.col("l_quantity").cast("bigint"))
-    placed = ranked(line, ["l_suppkey"], "qty", F.col("qty"), descending=True)
+    line = t("lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").cast("bigint").alias("qty"))
+    placed = ranked(line, ["l_suppkey"], "qty", descending=True)
     return placed.select(
         "l_suppkey", "l_orderkey", "l_linenumber", "l_partkey",
         F.col("rank").cast("bigint").alias("rnk"), F.col("dense_rank").cast("bigint").alias("dense_rnk"),
@@ -407,14 +407,14 @@ def b43_rank(t: Tables) -> DataFrame:
 
 
 def b44_running_total(t: Tables) -> DataFrame:
-    o = t("orders").withColumn("o_day", day("o_orderdate"))
-    running = running_total(o, [], "o_day", money("o_totalprice"), F.trunc("o_day", "month"))
+    o = t("orders").select("o_orderkey", "o_totalprice", day("o_orderdate").alias("o_day"))
+    running = running_total(o, [], "o_day", money("o_totalprice"))
     return running.select("o_orderkey", "o_day", F.col("running_total").cast("double").alias("running_total"))
 
 
 def b44_running_total_per_user(t: Tables) -> DataFrame:
-    e = t("events")
-    running = running_total(e, ["user_id"], "ts", money("value"), F.date_trunc("hour", "ts"))
+    e = t("events").select("event_id", "user_id", "ts", "value")
+    running = running_total(e, ["user_id"], "ts", money("value"))
     return running.select("event_id", "user_id", F.col("running_total").cast("double").alias("running_total"))
 
 

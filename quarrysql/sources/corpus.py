@@ -43,6 +43,7 @@ LAYOUTS: dict[str, T.StructType] = {
     "question_query": _strings("question", "query"),
     "text": _strings("text"),
     "code_file": _strings("content", "ext", "path"),
+    "output": _strings("case_id", "category", "model", "raw_output"),
 }
 
 # Which columns hold the schema, the question and the SQL, best first.

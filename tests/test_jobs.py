@@ -4,6 +4,7 @@ import json
 from collections import Counter
 
 from quarrysql.plans import jobs
+from quarrysql.sources import corpus
 
 LEGACY = "<|system|>\nDialect: sql\nSchema:\nS\n<|end|>\n<|user|>\n{}\n<|end|>\n<|assistant|>\n{}\n<|end|>"
 
@@ -145,3 +146,35 @@ def test_merged_code_keeps_statements_that_differ_late(spark):
     again = curation.merge_code(out.select("text"), numbered, "row_id")
     assert again.where("part = 1").count() == 0
     assert curation.merge_code(current, numbered, "row_id", cap=7).where("part = 1").count() == 7
+
+
+def test_code_files_join_a_corpus_by_versions(spark, tmp_path):
+    first = [{"path": "a.sql", "ext": "sql", "content": "CREATE TABLE t (id INT);\n\nSELECT id FROM t;\n"}, "{broken"]
+    second = [{"path": "b.sql", "ext": "sql", "content": "SELECT id FROM t;\n\nDELETE FROM t WHERE id = 1;\n"}, {"path": "c.md", "ext": "md", "content": "SELECT id FROM notes_of_mine;"}]
+    base = str(tmp_path / "base")
+    assert jobs.merge_code_files(spark, lines(tmp_path / "1.jsonl", first), base) == 1
+    before = {r.text for r in corpus.snapshot_read(spark, base).collect()}
+    assert sum("SELECT id FROM t" in t for t in before) == 1
+    assert jobs.merge_code_files(spark, lines(tmp_path / "2.jsonl", second), base) == 2
+    after = [r.text for r in corpus.snapshot_read(spark, base).collect()]
+    assert len(after) == len(set(after)) == len(before) + 1 and before < set(after)
+    assert any("DELETE FROM t WHERE id = 1" in t for t in after)
+    assert {r.text for r in corpus.snapshot_read(spark, base, 1).collect()} == before
+    report = read(tmp_path / "base" / "reports" / "version=2" / "files")[0]
+    assert (report["files_checked"], report["files_with_sql"]) == (1, 1)
+    assert [r["line"] for r in read(tmp_path / "base" / "reports" / "version=1" / "quarantine")] == ["{broken"]
+
+
+def test_outputs_become_a_leaderboard(spark, tmp_path):
+    rows = [
+        {"case_id": "1", "category": "JOIN", "model": "v1", "raw_output": "let me see"},
+        {"case_id": "1", "category": "JOIN", "model": "v2", "raw_output": "SELECT a FROM t JOIN u ON t.i = u.i"},
+        {"case_id": "2", "category": "IN", "model": "v1", "raw_output": "SELECT a FROM t WHERE a IN (1)"},
+        {"case_id": "2", "category": "IN", "model": "v2", "raw_output": "SELECT a FROM t WHERE a IN (1)"},
+        "{",
+    ]
+    jobs.score_outputs(spark, lines(tmp_path / "o.jsonl", rows), str(tmp_path / "out"), ["v1", "v2"])
+    assert {r["model"] for r in read(tmp_path / "out" / "leaderboard")} == {"v1", "v2"}
+    changes = read(tmp_path / "out" / "changes")
+    assert [(r["before"], r["after"], r["case_id"], r["change"]) for r in changes] == [("v1", "v2", "1", "now valid")]
+    assert len(read(tmp_path / "out" / "quarantine")) == 1 and read(tmp_path / "out" / "comparison")

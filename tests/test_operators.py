@@ -5,6 +5,7 @@ from collections import Counter
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quarrysql.functions.text import compute_once
@@ -161,7 +162,7 @@ def ranks(values):
 def test_ranks_with_ties_and_a_null_key(spark):
     rows = [(k, v, i) for i, (k, v) in enumerate([("a", 3), ("a", 1), ("a", 3), ("a", 17), ("b", 5), (None, 2), (None, 2)])]
     df = spark.createDataFrame(rows, "k string, v int, i int")
-    out = windows.ranked(df, ["k"], "v", F.floor(F.col("v") / 4), tie_break="i").collect()
+    out = windows.ranked(df, ["k"], "v", tie_break="i").collect()
     assert len(out) == len(rows)
     for key in ("a", "b", None):
         want = ranks([v for k, v, _ in rows if k == key])
@@ -173,13 +174,46 @@ def test_ranks_with_ties_and_a_null_key(spark):
 def test_running_total(spark):
     rows = [("a", 1, 10), ("a", 1, 5), ("a", 9, 1), ("b", 2, 7), (None, 3, 4), ("a", 5, None)]
     df = spark.createDataFrame(rows, "k string, t int, x int")
-    out = windows.running_total(df, ["k"], "t", F.col("x"), F.floor(F.col("t") / 3)).collect()
+    out = windows.running_total(df, ["k"], "t", F.col("x")).collect()
     for r in out:
         want = sum(x or 0 for k, t, x in rows if k == r["k"] and t <= r["t"])
         assert r["running_total"] == want
     assert len(out) == len(rows)
 
 
+@pytest.mark.parametrize("parts, batch", [("1", "10000"), ("7", "3"), ("16", "10")])
+def test_windows_over_a_hot_group_and_a_hot_tie(spark, parts, batch):
+    """Half the rows in one group, a third of all in one tie, against plain windows."""
+    shuffle, held = "spark.sql.shuffle.partitions", "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = {c: spark.conf.get(c) for c in (shuffle, held)}
+    group = F.when(F.col("id") % 2 == 0, "hot").when(F.col("id") % 7 == 1, None).otherwise(F.concat(F.lit("g"), (F.col("id") % 11).cast("string")))
+    value = F.when(F.col("id") % 3 == 0, 50).when(F.col("id") % 17 == 1, None).otherwise(F.col("id") % 97)
+    amount = F.when(F.col("id") % 5 > 0, ((F.col("id") * 37) % 101 - 50).cast("decimal(12,2)") / 4).cast("decimal(12,2)")
+    df = spark.range(1_500).select("id", group.alias("k"), value.alias("v"), amount.alias("x"))
+    try:
+        spark.conf.set(shuffle, parts)
+        spark.conf.set(held, batch)
+        for keys, down in ((["k"], False), (["k"], True), ([], False)):
+            w = Window.partitionBy(*keys).orderBy(F.desc("v") if down else F.asc("v"))
+            by_id = Window.partitionBy(*keys).orderBy(F.desc("v") if down else F.asc("v"), "id")
+            want = df.select("id", F.rank().over(w), F.dense_rank().over(w), F.row_number().over(by_id)).collect()
+            found = windows.ranked(df, keys, "v", tie_break="id", descending=down)
+            assert sorted(map(tuple, found.select("id", "rank", "dense_rank", "row_number").collect())) == sorted(map(tuple, want))
+        for keys in (["k"], []):
+            want = df.select("id", F.coalesce(F.sum("x").over(Window.partitionBy(*keys).orderBy("v")), F.lit(0))).collect()
+            found = windows.running_total(df, keys, "v", F.col("x"))
+            assert sorted(map(tuple, found.select("id", "running_total").collect())) == sorted(map(tuple, want))
+        sizes = [r["count"] for r in spark.read.parquet(*found.inputFiles()).groupBy("_part").count().collect()]
+        assert len(sizes) == int(parts) and max(sizes) < 3 * 1_500 / int(parts)
+        assert found._jdf.queryExecution().optimizedPlan().toString().count("parquet") <= 3
+        assert windows.running_total(df.limit(0), ["k"], "v", F.col("x")).count() == 0
+        with pytest.raises(TypeError):
+            windows.running_total(df, ["k"], "v", F.col("x").cast("double"))
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+
+
 def test_not_in_rules(spark):
     df = spark.createDataFrame([(1,), (2,), (None,)], "a int")
 

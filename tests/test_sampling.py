@@ -84,3 +84,26 @@ def test_report_keeps_every_row(spark):
     before = corpus(spark, 100, 10)
     rows = {r["sql_type"]: r for r in sampling.rebalance_report(before, sampling.rebalance(before)).collect()}
     assert rows["EMPTY"]["n_after"] == 0 and rows["SELECT"]["removed"] == 67
+
+
+@pytest.mark.parametrize("n", [0, 1, 999, 2_500, 2_999, 3_000, 9_000])
+def test_first_rows_with_outliers_and_clusters(spark, monkeypatch, n):
+    monkeypatch.setattr(sampling, "FEW", 50)
+    values = [*range(1_000), *range(10**15, 10**15 + 1_998), -(2**63), 2**63 - 1]
+    sorted_rows = []
+    limit = sampling.DataFrame.orderBy
+    monkeypatch.setattr(sampling.DataFrame, "orderBy", lambda df, *c, **k: sorted_rows.append(df.count()) or limit(df, *c, **k))
+    df = spark.createDataFrame([(v,) for v in values], "row_id long")
+    out = sampling.first_rows(df, n)
+    assert sorted(r.row_id for r in out.collect()) == sorted(values)[:n]
+    assert all(k <= 50 for k in sorted_rows)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") <= 1
+
+
+def test_samples_are_exact_with_few_rows_to_sort(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "FEW", 20)
+    df = spark.range(5_000).withColumnRenamed("id", "row_id")
+    for n in (0, 1, 2_500, 4_999, 5_000, 6_000):
+        assert sampling.cap_source(df, n).count() == min(n, 5_000)
+    named = df.selectExpr("struct(row_id AS a, 'x' AS b) AS row_id")
+    assert sampling.cap_source(named, 123).count() == 123
