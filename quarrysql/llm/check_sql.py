@@ -81,4 +81,53 @@ SELECT doc_id, leaf, sub.h AS subroot, root.h AS root, coalesce(proof, sha256(''
 FROM l JOIN sub USING (g) JOIN ends USING (id) LEFT JOIN proofs USING (id), (SELECT h FROM high WHERE n = 1) AS root
 """
 
-CHECK_SQL: dict[str, str] = {"op11_merkle_manifest": MERKLE, "op13_fill_in_middle": FIM}
+COSINE = """
+WITH RECURSIVE e AS (
+    SELECT row_number() OVER () AS rid, vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+), f AS (
+    SELECT *, sqrt(list_dot_product(v, v)) AS norm FROM e
+    WHERE label IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(v, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.rid AS a, b.rid AS b FROM f AS a JOIN f AS b ON a.label = b.label AND len(a.v) = len(b.v) AND a.rid <> b.rid
+    WHERE list_dot_product(a.v, b.v) / (a.norm * b.norm) >= 0.98
+), reach(a, b) AS (
+    SELECT rid, rid FROM e
+    UNION
+    SELECT r.a, l.b FROM reach AS r JOIN links AS l ON l.a = r.b
+), smallest AS (
+    SELECT r.a AS rid, min(e.vec_id) AS component_id FROM reach AS r JOIN e ON e.rid = r.b GROUP BY r.a
+)
+SELECT vec_id, (SELECT count(*) FROM links WHERE links.a = e.rid) AS n_links, component_id, vec_id = component_id AS kept
+FROM e JOIN smallest USING (rid)
+"""
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+SHINGLES = f"""
+WITH RECURSIVE d AS (
+    SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), s AS (
+    SELECT rid, doc_id, CASE WHEN len(w) < 2 THEN w ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS sh FROM d
+), u AS (
+    SELECT rid, len(sh) AS n, unnest(sh) AS x FROM s
+), met AS (
+    SELECT a.rid AS a, b.rid AS b FROM u AS a JOIN u AS b ON a.x = b.x AND a.rid < b.rid AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+    GROUP BY a.rid, b.rid HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))
+), links AS (
+    SELECT a, b FROM met UNION ALL SELECT b, a FROM met
+), reach(a, b) AS (
+    SELECT rid, rid FROM s
+    UNION
+    SELECT r.a, l.b FROM reach AS r JOIN links AS l ON l.a = r.b
+), smallest AS (
+    SELECT r.a AS rid, min(s.doc_id) AS component_id FROM reach AS r JOIN s ON s.rid = r.b GROUP BY r.a
+)
+SELECT doc_id, len(sh)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN smallest USING (rid)
+"""
+
+CHECK_SQL: dict[str, str] = {
+    "op7_circulant_minhash": SHINGLES,
+    "op8_spherical_kmeans": COSINE,
+    "op11_merkle_manifest": MERKLE,
+    "op13_fill_in_middle": FIM,
+}
