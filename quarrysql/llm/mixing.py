@@ -253,7 +253,11 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def mixed(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it, with all their columns; rows not taken are gone."""
+    """The rows of ``docs``, each as often as the mix takes it, with all their columns; rows not taken are gone.
+
+    Nulls, empty texts and repeated rows count as ``report`` says; an empty table gives an empty one. Columns of any
+    name are kept, those that the mix adds stay out.
+    """
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "source", _sized(docs).alias("size"))
     found = _applied(rows, fit(docs)).where("copies > 0")
     return _each(found.select("row", "copies"), F.col("copies")).select("row.*")

@@ -34,8 +34,9 @@ OTHER = re.compile(r"[^\t-\r\x20-\x7e\xa0-\u012f\u0131-\u017e]|<\|")
 KNOWN = 1_400_000
 #: A text with a longer word goes through the tokenizer whole. Texts are looked at so many bytes at a time.
 LONGEST, STRETCH = 255, 1 << 19
-#: Stands between words that are learnt together: its id tells where the ids of the next word begin.
-BREAK, LEARNT = "<|endoftext|>", 200
+#: Stands between words that are learnt together: its id tells where the ids of the next word begin. So many words make a text, and
+#: so many go to the tokenizer at a time.
+BREAK, LEARNT, TOGETHER = "<|endoftext|>", 200, 10_000
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
 
@@ -75,8 +76,11 @@ class Encoder:
 
     def _learn(self, words: list[str], keys: np.ndarray, checks: np.ndarray) -> None:
         """Remembers new words; ``keys`` are sorted, and none of them is known."""
-        made = self.tokenizer.encode_batch([BREAK.join(words[k : k + LEARNT]) + BREAK for k in range(0, len(words), LEARNT)], add_special_tokens=False)
-        ids = np.concatenate([np.array(e.ids, np.uint32) for e in made])
+        found = []
+        for at in range(0, len(words), TOGETHER):  # what the tokenizer returns takes far more room than the ids in it
+            own = [BREAK.join(words[k : min(k + LEARNT, at + TOGETHER)]) + BREAK for k in range(at, min(at + TOGETHER, len(words)), LEARNT)]
+            found += [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch(own, add_special_tokens=False)]
+        ids = np.concatenate(found)
         breaks = np.flatnonzero(ids == self.end)
         if len(breaks) != len(words):
             raise ValueError("the tokenizer does not keep its special token apart")
@@ -206,6 +210,7 @@ def pieces(docs: DataFrame, room: int = ROOM, tokenizer: str = TOKENIZER, with_i
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        freed()  # of what other operators left in this worker
         known = encoder(tokenizer_path(tokenizer))
         try:
             yield from cut(known.encode, batches)

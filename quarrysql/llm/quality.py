@@ -86,8 +86,9 @@ def sigmoid(x):
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> np.ndarray:
     """Weights, SLOTS floats, from at most ``sample`` labelled documents.
 
-    Executors turn texts into slots; only those of the sample reach the driver. No label at all gives zeros,
-    so that every text scores 0.5.
+    Executors turn texts into slots; only those of the sample reach the driver. No label at all, as in empty tables, gives zeros,
+    so that every text scores 0.5. Null ids and null labels teach nothing; null and empty texts teach the intercept; labels of one id
+    are averaged, and rows that repeat an id are texts of their own. Other columns of either table are ignored.
     """
     small_batches(docs.sparkSession)
     chosen = labelled_sample(labels, label, sample)
@@ -112,7 +113,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
 
 
 def scorer(spark, weights: np.ndarray, text: str = "text") -> Column:
-    """Probability of label 1 for each whole text. The weights have a fixed size and go to each worker once."""
+    """Probability of label 1 for each whole text. The weights have a fixed size and go to each worker once.
+
+    Null and empty texts have the intercept's score. Equal texts have equal scores.
+    """
     small_batches(spark)
     shared = spark.sparkContext.broadcast(weights)
 

@@ -89,7 +89,7 @@ def report(docs: DataFrame, shards: int = 24) -> DataFrame:
     """Shard and slot of each row under the law ``rows``: counts of shards are at most one apart.
 
     A null text counts no bytes and has the crc32 of the empty text. Null and repeated ids are rows like
-    others. Other columns are ignored.
+    others. Other columns are ignored. Long texts count whole. An empty table gives an empty result.
     """
     text = text_of().cast("binary")
     rows = docs.select("doc_id", (F.octet_length(text_of()).cast("long") + 8).alias("size"), F.crc32(text).alias("text_crc32"))

@@ -273,7 +273,9 @@ def fitted(texts: list[tuple[list[list[bytes]], int]], seed: int = 5) -> Network
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE) -> Network:
     """A network from at most ``sample`` labelled texts, of each all windows.
 
-    Executors cut the windows; only those reach the driver. Without labels of both kinds all texts have one score.
+    Executors cut the windows; only those reach the driver. Without labels of both kinds, as from empty tables, all texts have one score.
+    Null ids and null labels teach nothing; a null or empty text teaches its one empty window; labels of one id are averaged, and rows
+    that repeat an id are texts of their own. Long texts give all their windows. Other columns of either table are ignored.
     """
     small_batches(docs.sparkSession)
     chosen = labelled_sample(labels, label, sample)
@@ -292,7 +294,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int
 
 
 def scorer(spark, net: Network, text: str = "text") -> Column:
-    """Probability of label 1 for each whole text. The network has a fixed size and goes to each worker once."""
+    """Probability of label 1 for each whole text. The network has a fixed size and goes to each worker once.
+
+    Null and empty texts, and texts without letters, have the score of one empty window. Equal texts have equal scores.
+    """
     small_batches(spark)
     shared = spark.sparkContext.broadcast(net)
 

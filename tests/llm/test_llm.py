@@ -152,7 +152,7 @@ def test_words_have_the_ids_of_whole_texts():
 
 @pytest.mark.parametrize("known, longest, stretch", [(1_400_000, 255, 1 << 19), (40, 12, 64), (3, 5, 300), (500, 255, 40)])
 def test_ids_do_not_depend_on_what_is_remembered(monkeypatch, known, longest, stretch):
-    for name, value in (("KNOWN", known), ("LONGEST", longest), ("STRETCH", stretch)):
+    for name, value in (("KNOWN", known), ("LONGEST", longest), ("STRETCH", stretch), ("TOGETHER", 7), ("LEARNT", 3)):
         monkeypatch.setattr(packing, name, value)
     encode = packing.Encoder(packing.tokenizer_path(packing.TOKENIZER))
     r = np.random.default_rng(8)
