@@ -14,27 +14,42 @@ from quarrysql.session import written
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops what the quality classifier rejects."""
+    """Drops what the quality classifier rejects.
+
+    Null and empty texts have the score of no words; repeated rows stay or go together; an empty table stays empty.
+    """
     return quality.accepted(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near copies: five words, similarity 0.8."""
+    """Keeps one document of each group of near copies: five words, similarity 0.8.
+
+    Of a group the smallest id stays, null last. Null and empty texts are no copies of anything; rows equal in id and text count as one.
+    """
     return minhash.without_copies(docs, width=5, percent=80)
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces secrets in the texts; no document is dropped."""
+    """Replaces secrets in the texts; no document is dropped.
+
+    ``n_chars`` is counted anew where a text changed. Null and empty texts stay as they are.
+    """
     return secrets.redacted(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats or leaves out documents until sources have their target weights."""
+    """Repeats or leaves out documents until sources have their target weights.
+
+    A null source is one of its own; documents without words add none; an empty table stays empty.
+    """
     return mixing.mixed(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Places every document, copies included, in sequences of 2048 tokens."""
+    """Places every document, copies included, in sequences of 2048 tokens.
+
+    Null and empty texts are pieces of one id; longer texts than a sequence are cut; an empty table gives no piece.
+    """
     return packing.report(docs)
 
 
@@ -55,5 +70,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
-#: SQL can express neither the trained classifier nor the tokenizer; the tests hold the stages against brute force.
+#: SQL can express neither the trained classifier nor the tokenizer; tests/llm/test_brute_force.py holds run() against brute force.
 ORACLE_SQL = None
