@@ -265,3 +265,43 @@ def test_instruction_without_a_cut(value):
     shown = f"Get {listed.upper()} from T"
     assert value(lambda c: statements.describe_sql(c, None), sql) == [shown, "Get all records from T", "Execute this SQL query", "Execute this SQL query"]
     assert value(lambda c: statements.describe_sql(c), sql[:1]) == [f"Get {listed.upper()[:50]} from T"]
+
+
+# What answers of a model get wrong, one pair of statements a kind, and what an answer has to hold to be right.
+FAULTS = {
+    "per group": ([["PARTITION BY"], ["ROW_NUMBER", "RANK"]], "SELECT g, v FROM t ORDER BY v DESC LIMIT 3",
+                  "SELECT g, v FROM (SELECT g, v, ROW_NUMBER() OVER (PARTITION BY g ORDER BY v DESC) AS n FROM t) AS r WHERE n <= 3"),
+    "running total": ([["OVER (ORDER BY"]], "SELECT d, SUM(q) OVER (PARTITION BY d ORDER BY d) FROM t", "SELECT d, SUM(q) OVER (ORDER BY d) FROM t"),
+    "never": ([["NOT EXISTS", "IS NULL", "NOT IN"]], "SELECT c.n FROM c JOIN o ON o.c = c.id GROUP BY c.n",
+              "SELECT c.n FROM c WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.c = c.id)"),
+    "all joins": ([["JOIN O ON"], ["JOIN I ON"], ["HAVING"]], "SELECT u.n FROM u JOIN o ON o.u = u.id GROUP BY u.n HAVING COUNT(*) > 5",
+                  "SELECT u.n FROM u JOIN o ON o.u = u.id JOIN i ON i.o = o.id GROUP BY u.n HAVING SUM(i.q) > 5"),
+    "named part": ([["WITH"], ["AVG"]], "SELECT p.n, AVG(p.v) FROM p GROUP BY p.n", "WITH a AS (SELECT g, AVG(v) AS m FROM p GROUP BY g) SELECT p.n FROM p JOIN a ON a.g = p.g WHERE p.v > a.m"),
+    "domain": ([["SPLIT_PART", "POSITION"]], "SELECT n FROM u WHERE mail LIKE '%@%'", "SELECT SPLIT_PART(mail, '@', 2) FROM u"),
+    "month": ([["DATE_TRUNC", "EXTRACT"]], "SELECT d, SUM(v) FROM s GROUP BY d", "SELECT DATE_TRUNC('month', d), SUM(v) FROM s GROUP BY 1"),
+    "second": ([["MAX"], ["< (SELECT"]], "SELECT n FROM p WHERE v = (SELECT MAX(v) FROM p)", "SELECT n FROM p WHERE v = (SELECT MAX(v) FROM p WHERE v < (SELECT MAX(v) FROM p))"),
+    "exactly": ([["GROUP BY"], ["COUNT(*) = 2"]], "SELECT DISTINCT c FROM o", "SELECT c FROM o GROUP BY c HAVING COUNT(*) = 2"),
+    "null": ([["IS NULL"]], "SELECT n FROM p WHERE g = NULL", "SELECT n FROM p WHERE g IS NULL"),
+}
+
+
+def test_rules_tell_faulty_answers_from_right_ones(spark):
+    for kind, (groups, faulty, right) in FAULTS.items():
+        rules = F.array(*[scoring.any_of(*[scoring.needle(n) for n in g]) for g in groups])
+        df = spark.createDataFrame([(0, faulty), (1, right)], "i int, sql string")
+        rows = statements.gate(df.withColumn("meets", scoring.meets("sql", rules))).orderBy("i").collect()
+        assert [(r.meets, r.reject_reason) for r in rows] == [(False, None), (True, None)], kind
+
+
+def test_faulty_dialect_is_rewritten(value):
+    faulty = ["SELECT id FROM u WHERE d >= DATE_SUB(CURRENT_DATE, INTERVAL 30 DAY)", "SELECT YEAR(d) FROM u WHERE d < CURDATE()"]
+    right = ["SELECT id FROM u WHERE d >= CURRENT_DATE - INTERVAL '30 days'", "SELECT EXTRACT(YEAR FROM d) FROM u WHERE d < CURRENT_DATE"]
+    assert value(statements.mysql_to_postgres, faulty) == right
+    assert value(statements.mysql_to_postgres, right) == right
+
+
+def test_schema_of_another_table_is_not_used(spark):
+    ddl = "CREATE TABLE orders (id INT, placed DATE)"
+    df = spark.createDataFrame([("SELECT name FROM customers", ddl), ("SELECT placed FROM orders", ddl), ("SELECT name FROM users", "")], "sql string, ddl string")
+    used = scoring.schema_use("sql", "ddl")
+    assert [list(used)[-1]] and [r[0] for r in df.select(list(used.values())[-1]).collect()] == [False, True, False]
