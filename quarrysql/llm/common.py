@@ -15,7 +15,7 @@ from quarrysql.session import written
 #: A word, as every contract of this package counts them.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows of text per Arrow batch. Texts can be long, and the default of 10,000 rows can exceed a worker.
-TEXT_ROWS = 2_000
+TEXT_ROWS = 500
 #: Bytes per Arrow batch; a batch holds one row at least.
 TEXT_BYTES = 4 << 20
 
@@ -36,9 +36,9 @@ def local(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     return spark.createDataFrame(pa.table(arrays, names=[name for name, _ in fields]))
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Sends texts to Python workers in batches of ``TEXT_ROWS`` rows or ``TEXT_BYTES`` bytes, whichever are fewer."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_ROWS))
+def small_batches(spark: SparkSession, rows: int = TEXT_ROWS) -> None:
+    """Sends texts to Python workers in batches of ``rows`` rows or ``TEXT_BYTES`` bytes, whichever are fewer."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(TEXT_BYTES))
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from quarrysql.llm.common import small_batches
+from quarrysql.llm.common import freed, small_batches
 from quarrysql.llm.components import components
 from quarrysql.session import written
 
@@ -147,6 +147,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                 [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), *(pa.array(x, pa.list_(pa.int64())) for x in (bands, bits, odd))],
                 names=["doc_id", "text_hash", "n_shingles", "cls", "bands", "bits", "odd"],
             )
+        freed()
 
     return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
         run, "doc_id long, text_hash long, n_shingles long, cls binary, bands array<long>, bits array<long>, odd array<long>"
@@ -177,6 +178,7 @@ def confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int,
                 if alike(known, shingles(y.as_py(), width), percent):
                     keep.append(i)
             yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
+        freed()
 
     small_batches(spark)
     both = (

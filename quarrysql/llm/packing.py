@@ -30,6 +30,8 @@ END = 0
 
 #: Texts with one of these characters, or with the start of a special token, go through the tokenizer whole.
 OTHER = re.compile(r"[^\t-\r\x20-\x7e\xa0-\u012f\u0131-\u017e]|<\|")
+#: Texts that are looked up together: the more there are, the fewer times a word is.
+ROWS = 2_000
 #: Words whose ids a worker remembers, some 60 bytes each; beyond it, it starts anew.
 KNOWN = 1_400_000
 #: A text with a longer word goes through the tokenizer whole. Texts are looked at so many bytes at a time.
@@ -206,7 +208,7 @@ def tokenizer_path(name: str) -> str:
 
 def pieces(docs: DataFrame, room: int = ROOM, tokenizer: str = TOKENIZER, with_ids: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]): every document's ids, cut only where longer than ``room``."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, ROWS)
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
