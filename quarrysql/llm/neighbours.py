@@ -4,6 +4,7 @@ Every hash function is a single projection on a random line; its index is the bl
 query opens a window around its own projection on each line. A vector inside the windows of enough lines has collided often
 enough to be verified: its exact inner product is computed. The windows grow by a fixed ratio (virtual rehashing: the
 arrays stay, only the ends move) until the query's k-th best distance is within the radius that the windows stand for.
+Collisions are counted on bits, for many queries at a time: a window is the difference of two prefixes of a sorted array.
 
 Largest inner product becomes nearest distance by one more component, which gives all vectors the norm of the longest.
 
@@ -25,6 +26,8 @@ from quarrysql.session import written
 #: Lines, windows a vector has to be in, first half width in units of the longest norm, and growth of the windows.
 LINES, COLLISIONS, FIRST, GROWTH = 48, 29, 0.7, 1.2
 BLOCK, QUERIES = 16_384, 512
+#: Queries whose collisions are counted together, and bits of the prefixes of a line.
+TOGETHER, PREFIX_BITS = 64, 1 << 22
 SEED = 20_240_607
 
 
@@ -37,6 +40,14 @@ def dot(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
     return np.cumsum(rows * query, axis=1)[:, -1]
 
 
+def _bits(rows: np.ndarray) -> np.ndarray:
+    """Rows of booleans as bits, in whole 64-bit numbers."""
+    out = np.zeros((len(rows), -(-rows.shape[1] // 64)), np.uint64)
+    packed = np.packbits(rows, axis=1)
+    out.view(np.uint8)[:, : packed.shape[1]] = packed
+    return out
+
+
 class Index:
     """The sorted projections of a block of vectors."""
 
@@ -47,44 +58,89 @@ class Index:
         spread = vectors @ self.lines[:-1] + rest[:, None] * self.lines[-1]
         order = np.argsort(spread, axis=0, kind="stable")
         self.sorted = np.take_along_axis(spread, order, axis=0).T.copy()
-        kind = np.uint16 if len(vectors) < 1 << 16 else np.uint32
-        self.rank = np.empty((LINES, len(vectors)), kind)  # where each vector lies in each sorted array
-        np.put_along_axis(self.rank, order.T, np.arange(len(vectors), dtype=kind)[None, :], axis=1)
+        # Prefixes of each sorted array, a bit for each vector: the t-th tells which of them lie before place t * step.
+        self.step = -(-len(vectors) // max(1, min(len(vectors), PREFIX_BITS // len(vectors))))
+        shape = (LINES, -(-len(vectors) // self.step) + 1, -(-len(vectors) // 64))
+        self.prefixes = np.zeros(shape, np.uint64)
+        row = np.arange(len(vectors))
+        for j, own in enumerate(self.prefixes):
+            run = np.empty(len(vectors), np.int64)
+            run[order[:, j]] = row // self.step + 1
+            np.add.at(own.view(np.uint8).reshape(-1), run * (8 * shape[2]) + (row >> 3), (128 >> (row & 7)).astype(np.uint8))
+            np.bitwise_or.accumulate(own, axis=0, out=own)
 
     def collisions(self, at: np.ndarray, half: float) -> np.ndarray:
-        """For each vector the number of lines on which it is within the window around the query."""
-        count, hit = np.zeros(len(self.vectors), np.uint8), np.empty(len(self.vectors), bool)
-        place = np.empty_like(self.rank[0])
+        """For each query a bit for each vector: whether it is within the query's windows on COLLISIONS lines.
+
+        A window is the difference of two prefixes, its ends moved outward to the next border of a run. Bits of all lines are summed by
+        adders: the n-th list holds numbers whose bits stand for 2**n collisions.
+        """
+        weights: list[list[np.ndarray]] = [[] for _ in range(LINES.bit_length())]
+
+        def add(bits: np.ndarray, n: int) -> None:
+            own = weights[n]
+            own.append(bits)
+            if len(own) == 3:
+                x, y, z = own
+                either = x ^ y
+                weights[n] = [either ^ z]
+                add((x & y) | (either & z), n + 1)
+
         for j in range(LINES):
-            low, high = self.sorted[j].searchsorted(at[j] - half), self.sorted[j].searchsorted(at[j] + half, side="right")
-            np.subtract(self.rank[j], place.dtype.type(low), out=place)  # places before the window wrap to the far end
-            np.less(place, place.dtype.type(high - low), out=hit)
-            count += hit.view(np.uint8)
-        return count
-
-    def search(self, query: np.ndarray, k: int, own: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Places and scores of the (at least, where there are so many) ``k`` best rows found, ties at the end included."""
-        at, half = query @ self.lines[:-1], FIRST * self.longest
-        fresh = np.ones(len(self.vectors), bool)
-        if own >= 0:
-            fresh[own] = False
-        need = min(k, int(fresh.sum()))
-        places, scores = np.empty(0, np.int64), np.empty(0)
-        base = float(query @ query) + self.longest**2
-        while need:
-            met = np.flatnonzero((self.collisions(at, half) >= COLLISIONS) & fresh)
-            fresh[met] = False
-            places, scores = np.concatenate([places, met]), np.concatenate([scores, self.vectors[met] @ query])
-            if len(places) >= need:
-                kth = np.partition(scores, len(scores) - need)[len(scores) - need]
-                near = scores >= kth - 1e-9 * max(1.0, abs(kth))
-                places, scores = places[near], scores[near]
-                if half >= np.sqrt(max(0.0, base - 2 * kth)) or not fresh.any():
-                    break
-            elif not fresh.any():
-                break
+            low = self.sorted[j].searchsorted(at[:, j] - half) // self.step
+            high = -(-self.sorted[j].searchsorted(at[:, j] + half, side="right") // self.step)
+            add(self.prefixes[j, high] ^ self.prefixes[j, low], 0)
+        enough = np.full_like(self.prefixes[0, :1], ~np.uint64(0))
+        for n, own in enumerate(weights):
+            bit = own[0] if own else np.zeros_like(enough)
+            if len(own) == 2:
+                add(own[0] & own[1], n + 1)
+                bit = own[0] ^ own[1]
+            enough = bit & enough if COLLISIONS >> n & 1 else bit | enough
+        return enough
+
+    def search(self, queries: np.ndarray, k: int, own: list[int]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query places and scores of the (at least, where there are so many) ``k`` best rows found, ties at the end included.
+
+        ``own`` holds the place of each query's own row, -1 where it is elsewhere.
+        """
+        out: list[tuple[np.ndarray, np.ndarray]] = []
+        for first in range(0, len(queries), TOGETHER):
+            out += self._search(queries[first : first + TOGETHER], k, own[first : first + TOGETHER])
+        return out
+
+    def _search(self, queries: np.ndarray, k: int, own: list[int]) -> list[tuple[np.ndarray, np.ndarray]]:
+        n, half = len(self.vectors), FIRST * self.longest
+        at = queries @ self.lines[:-1]
+        fresh = np.tile(_bits(np.ones((1, n), bool)), (len(queries), 1))
+        for bits, place in zip(fresh.view(np.uint8), own):
+            if place >= 0:
+                bits[place >> 3] &= np.uint8(255 ^ (128 >> (place & 7)))
+        left = [n - (place >= 0) for place in own]
+        need = [min(k, x) for x in left]
+        places, scores = [np.empty(0, np.int64) for _ in own], [np.empty(0) for _ in own]
+        base = np.array([float(q @ q) for q in queries]) + self.longest**2
+        live = np.flatnonzero(need)
+        while len(live):
+            met = self.collisions(at[live], half) & fresh[live]
+            fresh[live] ^= met
+            still = []
+            for i, bits in zip(live.tolist(), met.view(np.uint8)):
+                new = np.flatnonzero(np.unpackbits(bits, count=n).view(bool))
+                left[i] -= len(new)
+                places[i] = np.concatenate([places[i], new])
+                scores[i] = np.concatenate([scores[i], self.vectors[new] @ queries[i]])
+                if len(places[i]) >= need[i]:
+                    kth = np.partition(scores[i], len(scores[i]) - need[i])[len(scores[i]) - need[i]]
+                    near = scores[i] >= kth - 1e-9 * max(1.0, abs(kth))
+                    places[i], scores[i] = places[i][near], scores[i][near]
+                    if half >= np.sqrt(max(0.0, base[i] - 2 * kth)):
+                        continue
+                if left[i]:
+                    still.append(i)
+            live = np.array(still, np.int64)
             half *= GROWTH
-        return places, dot(self.vectors[places], query)
+        return [(found, dot(self.vectors[found], query)) for found, query in zip(places, queries)]
 
 
 def nearest(df: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
@@ -113,17 +169,18 @@ def nearest(df: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
     asked = rows.where(is_query).withColumn("group", deal(groups, 2)).withColumn("block", each(blocks))
 
     def run(block: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        out: list[pd.DataFrame] = []
-        if len(block) and len(queries):
-            block = block.sort_values("row").reset_index(drop=True)
-            index, place = Index(stacked(block.v), longest), {r: i for i, r in enumerate(block.row)}
-            ids = block.vec_id.to_numpy()
-            for q, row, v in zip(queries.vec_id, queries.row, queries.v):
-                places, scores = index.search(np.asarray(v, np.float64), k, place.get(row, -1))
-                best = np.lexsort((block.row.to_numpy()[places], ids[places], -scores))[:k]
-                out.append(pd.DataFrame({"query_row": row, "query_id": q, "row": block.row.to_numpy()[places[best]], "vec_id": ids[places[best]], "score": scores[best]}))
         names = ["query_row", "query_id", "row", "vec_id", "score"]
-        return pd.concat(out) if out else pd.DataFrame({c: [] for c in names})
+        if not len(block) or not len(queries):
+            return pd.DataFrame({c: [] for c in names})
+        block = block.sort_values("row").reset_index(drop=True)
+        index, place = Index(stacked(block.v), longest), {r: i for i, r in enumerate(block.row)}
+        ids, own = block.vec_id.to_numpy(), block.row.to_numpy()
+        found = index.search(stacked(queries.v), k, [place.get(r, -1) for r in queries.row])
+        best = [places[np.lexsort((own[places], ids[places], -scores))[:k]] for places, scores in found]
+        best_scores = [np.sort(-scores)[:k] * -1.0 for _, scores in found]
+        sizes, at = [len(b) for b in best], np.concatenate(best)
+        columns = [np.repeat(queries.row.to_numpy(), sizes), np.repeat(queries.vec_id.to_numpy(), sizes), own[at], ids[at], np.concatenate(best_scores)]
+        return pd.DataFrame(dict(zip(names, columns)))
 
     found = held.groupBy("length", "block", "group").cogroup(asked.groupBy("length", "block", "group")).applyInPandas(
         run, "query_row long, query_id long, row long, vec_id long, score double"

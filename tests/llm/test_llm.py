@@ -427,3 +427,21 @@ def test_vectors_repeated_and_with_clashing_names(spark):
     assert found == [(False, 3, 0, 3), (False, 20, 2, 20), (False, 20, 2, 20), (True, None, 2, 20)]
     near = neighbours.nearest(df).collect()
     assert sorted((r.rank, r.vec_id or 0, r.score) for r in near) == [(1, 0, 10.0), (1, 0, 10.0), (2, 20, 5.0), (2, 20, 5.0), (3, 3, -1.0), (3, 3, -1.0)]
+
+
+def test_collisions_are_counted_for_many_queries_at_once(monkeypatch):
+    rng = np.random.default_rng(7)
+    block, queries = rng.standard_normal((150, 6)), rng.standard_normal((9, 6))
+    longest = float(np.linalg.norm(block, axis=1).max())
+    rest = np.sqrt(np.maximum(0.0, longest**2 - np.square(block).sum(axis=1)))
+    spread, at = np.c_[block, rest] @ neighbours.lines(7), queries @ neighbours.lines(7)[:-1]
+    for bits, exact in ((1 << 22, True), (600, False)):  # a border of a run at each place, or at every 38th
+        monkeypatch.setattr(neighbours, "PREFIX_BITS", bits)
+        index = neighbours.Index(block, longest)
+        for half in (0.3, 0.8, 1.5, 4.0):
+            want = (np.abs(spread[None] - at[:, None]) <= half * longest).sum(axis=2) >= neighbours.COLLISIONS
+            met = np.unpackbits(index.collisions(at, half * longest).view(np.uint8), axis=1, count=150).astype(bool)
+            assert (met == want).all() if exact else (met >= want).all()
+    found = neighbours.Index(block, longest).search(queries, 5, [-1] * 9)
+    hits = [len(set(np.argsort(-(block @ q))[:5]) & set(places[np.argsort(-scores)][:5])) for q, (places, scores) in zip(queries, found)]
+    assert sum(hits) >= 0.9 * 45
