@@ -1,12 +1,15 @@
 """Duplicate removal against sequential models, and under different partitionings."""
 
 import random
+import re
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from quarrysql.operators import dedup
+from quarrysql.functions.chat import render_legacy
+from quarrysql.functions.statements import describe_sql
+from quarrysql.operators import dedup, extract
 
 
 def sequential(rows):
@@ -183,3 +186,29 @@ def test_components_of_paths_and_hubs(spark):
     found = dict(tuple(r) for r in components(spark.createDataFrame(edges, "a long, b long")).collect())
     assert found == {**{k: 100 for k in range(101, 161)}, **{k: 9_000 for k in range(9_001, 9_300)}, 6: 5}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_question_keys_are_computed_once_a_row(spark):
+    long = ", ".join(f"column_{i}" for i in range(12))
+    asked = "Get the names of all customers and the dates of their orders from the shop"
+    sqls = ["SELECT a FROM t", f"SELECT {long} FROM t", f"SELECT {long}, z FROM t", "DELETE FROM t WHERE a = 1", "DROP TABLE t"]
+    made = spark.createDataFrame(list(enumerate(sqls)), "i int, sql string").withColumn("asked", describe_sql("sql"))
+    rows = made.unionByName(spark.createDataFrame([(5, "SELECT 1 FROM t", asked)], "i int, sql string, asked string"))
+    texts = rows.select("i", render_legacy(F.lit(""), "asked", "sql").alias("text")).unionByName(
+        spark.createDataFrame([(6, None), (7, "no turn")], "i int, text string")
+    )
+    found = dedup.question_keys(texts)
+    assert [r.question_key for r in found.orderBy("i").collect()] == [
+        "get a from t", f"get {long} from t", f"get {long}, z from t", "delete records from t", "execute this sql query", asked.lower(), "", "",
+    ]
+    plan = found.where("question_key <> ''").select("question_key")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE") == 1  # no filter holds a copy of the patterns
+
+
+def test_spans_of_statements_are_those_of_the_pattern():
+    pattern = re.compile(r"(?:SELECT|INSERT|UPDATE|DELETE|CREATE|ALTER|DROP|WITH)\s+.*?(?:;|(?=\n\n|\Z))", re.I | re.S)
+    parts = ["select", "SELECT ", "with\n\n", "drop", " ", "\n", "\n\n", ";", "x", "create table t (a int)", "\t", " ;"]
+    dice = random.Random(3)
+    for _ in range(5_000):
+        text = "".join(dice.choice(parts) for _ in range(dice.randint(0, 14)))
+        assert list(extract.spans_in(text)) == [m.span() for m in pattern.finditer(text)]
