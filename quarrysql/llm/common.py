@@ -50,6 +50,17 @@ def freed() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+#: What operators remember in this worker from task to task.
+_held: dict[str, dict] = {}
+
+
+def held(owner: str) -> dict:
+    """What ``owner`` remembers in this worker. Whatever others remember is let go: workers go from one operator to the next."""
+    for other in [o for o in _held if o != owner]:
+        del _held[other]
+    return _held.setdefault(owner, {})
+
+
 def text_of(column: str = "text") -> Column:
     """A text, with null read as empty."""
     return F.coalesce(F.col(column), F.lit(""))

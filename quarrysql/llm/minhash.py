@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from quarrysql.llm.common import freed, small_batches
+from quarrysql.llm.common import freed, held, small_batches
 from quarrysql.llm.components import components
 from quarrysql.session import written
 
@@ -134,6 +134,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("minhash")
         for batch in batches:
             sizes, keys, bands, bits, odd, seen = [], [], [], [], [], {}
             for text in batch.column(2).to_pylist():
@@ -169,6 +170,7 @@ def confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int,
     texts = written(texts.dropDuplicates(["cls"]), "minhash-texts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("minhash")
         last, known = None, None
         for batch in batches:
             keep = []

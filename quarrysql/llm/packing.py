@@ -9,6 +9,7 @@ sequences that follow it. Rows find their pattern by the global rank of their le
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections import defaultdict
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarrysql.llm.common import freed, numbered, small_batches
+from quarrysql.llm.common import freed, held, numbered, small_batches
 from quarrysql.session import written
 
 ROOM = 2_048
@@ -30,8 +31,8 @@ END = 0
 
 #: Texts with one of these characters, or with the start of a special token, go through the tokenizer whole.
 OTHER = re.compile(r"[^\t-\r\x20-\x7e\xa0-\u012f\u0131-\u017e]|<\|")
-#: Texts that are looked up together: the more there are, the fewer times a word is.
-ROWS = 2_000
+#: Texts that are looked up together: the more there are, the fewer times a word is, and the more room it takes.
+ROWS = 500
 #: Words whose ids a worker remembers, some 60 bytes each; beyond it, it starts anew.
 KNOWN = 1_400_000
 #: A text with a longer word goes through the tokenizer whole. Texts are looked at so many bytes at a time.
@@ -52,6 +53,7 @@ class Encoder:
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # each thread keeps memory of its own, and tasks take all cores as it is
         self.tokenizer = Tokenizer.from_file(path)
         self.end = self.tokenizer.token_to_id(BREAK)
         with np.errstate(over="ignore"):
@@ -187,14 +189,12 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids if text else [], np.uint32)
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
-    """One encoder for each worker process and file."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    """One encoder for each worker process and file, until the worker turns to another operator."""
+    encoders = held("packing")
+    if path not in encoders:
+        encoders[path] = Encoder(path)
+    return encoders[path]
 
 
 def tokenizer_path(name: str) -> str:

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarrysql.llm.common import labelled_sample, small_batches, words
+from quarrysql.llm.common import freed, held, labelled_sample, small_batches, words
 
 #: Training documents read at most: the documented bound of the sample.
 SAMPLE = 6_000
@@ -121,9 +121,11 @@ def scorer(spark, weights: np.ndarray, text: str = "text") -> Column:
     shared = spark.sparkContext.broadcast(weights)
 
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        held("quality")
         w = shared.value
         for texts in batches:
             yield pd.Series([float(sigmoid(w[s] @ v)) for s, v in map(features, texts)], dtype="float64")
+        freed()
 
     score.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
     return F.pandas_udf(score, "double")(F.col(text))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import os
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -12,7 +13,7 @@ import numpy as np
 import pytest
 
 from quarrysql.llm import cosine, minhash, mixing, neighbours, packing, ppm, quality, secrets, sharding, toxicity
-from quarrysql.llm.common import table
+from quarrysql.llm.common import held, table
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, row string, size long, spans string"
 
@@ -445,3 +446,13 @@ def test_collisions_are_counted_for_many_queries_at_once(monkeypatch):
     found = neighbours.Index(block, longest).search(queries, 5, [-1] * 9)
     hits = [len(set(np.argsort(-(block @ q))[:5]) & set(places[np.argsort(-scores)][:5])) for q, (places, scores) in zip(queries, found)]
     assert sum(hits) >= 0.9 * 45
+
+
+def test_packing_leaves_room_in_a_worker(spark, sf):
+    path = packing.tokenizer_path(packing.TOKENIZER)
+    first = packing.encoder(path)
+    assert packing.encoder(path) is first and os.environ["TOKENIZERS_PARALLELISM"] == "false"
+    held("minhash")  # a task of another operator: the words and the tokenizer go
+    assert packing.encoder(path) is not first
+    packing.pieces(table(spark, sf, "documents"))
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 500
